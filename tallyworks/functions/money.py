@@ -23,12 +23,15 @@ def cents(amount: Column | str) -> Column:
     return F.floor(_column(amount) * 100 + 0.5)
 
 
-def sum_of_cents(value: Column) -> Column:
-    """Exact sum of a column of whole cents, as money in a double."""
+def _cent_total(value: Column) -> Column:
     high = F.sum(F.shiftright(value, _LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(value.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(20,0)")
-    total = high * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low
-    return total.cast("double") / 100
+    return high * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + low
+
+
+def sum_of_cents(value: Column) -> Column:
+    """Exact sum of a column of whole cents, as money in a double."""
+    return _cent_total(value).cast("double") / 100
 
 
 def money_sum(amount: Column | str) -> Column:
@@ -36,8 +39,14 @@ def money_sum(amount: Column | str) -> Column:
     return sum_of_cents(cents(amount))
 
 
-def money_avg(amount: Column | str, digits: int | None = 2) -> Column:
-    """Average of the non-NULL amounts, rounded half up."""
-    column = _column(amount)
-    average = F.try_divide(money_sum(column), F.count(column))
-    return average if digits is None else F.round(average, digits)
+def money_avg(amount: Column | str) -> Column:
+    """Average of the non-NULL amounts to the cent, halves rounded away from zero.
+
+    Divided in whole numbers: rounding a double quotient goes either way at a half.
+    """
+    value = cents(amount)
+    total = _cent_total(value)
+    rows = F.count(value)
+    rows = F.when(rows > 0, rows)
+    nearest = F.call_function("div", F.abs(total) * 2 + rows, rows * 2)
+    return F.signum(total) * nearest / 100

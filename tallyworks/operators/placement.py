@@ -43,6 +43,10 @@ class Placed:
         return partition
 
 
+def tasks_for(rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    return max(1, math.ceil(rows / rows_per_task))
+
+
 def place(
     df: DataFrame,
     bucket: Column,
@@ -58,9 +62,7 @@ def place(
     target = F.pmod(F.coalesce(bucket, F.lit(0)), F.lit(partitions)).cast("int")
     counted = df.groupBy(target.alias("p")).agg(F.count("*").alias("n")).collect()
     rows = {row["p"]: row["n"] for row in counted}
-    tasks = tuple(
-        max(1, math.ceil(rows.get(p, 0) / rows_per_task)) for p in range(partitions)
-    )
+    tasks = tuple(tasks_for(rows.get(p, 0), rows_per_task) for p in range(partitions))
     total = sum(tasks)
     if total == partitions:
         return Placed(df.repartitionById(partitions, target), tasks)

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.functions.once import once
 from tallyworks.operators.aggregates import ranked_counts
 from tallyworks.operators.filters import endpoint_matches
 
@@ -55,14 +56,13 @@ def parse_lines(
 ) -> DataFrame:
     """Log lines (column ``value``) as typed fields.
 
-    The pattern may match anywhere in a line. It runs once per line: the match is
-    rewritten as its groups with line breaks between, which no line can contain, and
-    split. Going through a generator keeps Spark from repeating that in the filter
-    and in each column. Lines without a match are dropped, or kept with empty fields.
+    The pattern may match anywhere in a line. It runs once per line, not once per
+    field: the match is rewritten as its groups with line breaks between, which no line
+    can contain, and split. Lines without a match are dropped, or kept with empty fields.
     """
     groups = "".join(f"\n${number}" for number in range(1, len(LOG_FIELDS) + 1))
     rewritten = F.regexp_replace("value", rf"^.*?{pattern}.*$", groups)
-    split = lines.select(F.explode(F.array(F.split(rewritten, "\n"))).alias("fields"))
+    split = lines.select(once(F.split(rewritten, "\n")).alias("fields"))
     matched = F.size("fields") == len(LOG_FIELDS) + 1
     if keep_invalid:
         split = split.select(F.when(matched, F.col("fields")).alias("fields"))
@@ -83,7 +83,7 @@ def with_times(logs: DataFrame, time_format: str = TIME_FORMAT) -> DataFrame:
     """Add the parsed time and its hour; requests without a readable time go."""
     parsed = F.try_to_timestamp(F.trim("timestamp"), F.lit(time_format))
     return (
-        logs.withColumn("parsed_timestamp", parsed.cast("timestamp_ntz"))
+        logs.select("*", once(parsed.cast("timestamp_ntz")).alias("parsed_timestamp"))
         .where(F.col("parsed_timestamp").isNotNull())
         .withColumn("hour", F.hour("parsed_timestamp"))
     )

@@ -13,7 +13,6 @@ from tallyworks.functions.buckets import (
     modulo_bucket,
     named_bucket,
     range_bucket,
-    row_salt,
     suffix_number,
 )
 from tallyworks.operators import caching, placement, skew
@@ -36,11 +35,9 @@ def _amounts(t: Tables) -> DataFrame:
     return t.orders().select("orderNumber", "customerNumber", "totalAmount")
 
 
-def _by_number(t: Tables, partitions: int, rows_per_task: int = placement.ROWS_PER_TASK):
+def _by_number(df: DataFrame, partitions: int, *more_id: str) -> placement.Placed:
     bucket = modulo_bucket(F.col("orderNumber"), partitions)
-    return placement.place(
-        _amounts(t), bucket, partitions, ["orderNumber"], rows_per_task
-    )
+    return placement.place(df, bucket, partitions, ["orderNumber", *more_id])
 
 
 @query(
@@ -50,31 +47,33 @@ def _by_number(t: Tables, partitions: int, rows_per_task: int = placement.ROWS_P
     uses="ordered",
 )
 def _(t: Tables):
-    return placement.partition_rows(_by_number(t, 4))
+    return placement.partition_rows(_by_number(_amounts(t), 4))
 
 
 @query(
     "partition_sums",
     """SELECT CAST("orderNumber" % 3 AS INTEGER) AS "partition",
-              CAST(SUM("orderNumber") AS BIGINT) AS total
-       FROM ordered GROUP BY 1""",
-    uses="ordered",
+              CAST(SUM(value) AS BIGINT) AS total
+       FROM pairs GROUP BY 1""",
+    uses="pairs",
 )
 def _(t: Tables):
-    return placement.partition_sums(_by_number(t, 3), "orderNumber")
+    placed = _by_number(t.pairs().drop("key"), 3, "lineNumber")
+    return placement.partition_sums(placed, "value")
 
 
 @query(
     "partition_contents",
     """SELECT CAST("orderNumber" % 3 AS INTEGER) AS "partition",
-              "orderNumber" // 500 AS piece,
+              "orderNumber" // 100000 AS piece,
               string_agg(CAST("orderNumber" AS VARCHAR), ',' ORDER BY "orderNumber")
                 AS items
        FROM ordered GROUP BY 1, 2""",
     uses="ordered",
 )
 def _(t: Tables):
-    contents = placement.partition_contents(_by_number(t, 3), "orderNumber", span=500)
+    placed = _by_number(t.orders().select("orderNumber"), 3)
+    contents = placement.partition_contents(placed, "orderNumber")
     texts = F.col("items").cast("array<string>")
     return contents.withColumn("items", F.array_join(texts, ","))
 
@@ -89,22 +88,24 @@ def _(t: Tables):
     uses="pairs",
 )
 def _(t: Tables):
-    bucket = modulo_bucket(F.col("orderNumber"), 8)
-    row_id = ["orderNumber", "lineNumber"]
-    placed = placement.place(t.pairs().drop("value"), bucket, 8, row_id)
+    placed = _by_number(t.pairs().drop("value"), 8, "lineNumber")
     return placement.partition_top_key(placed, "key")
 
 
+# Up to eight partitions and down to two, for every five million orders.
 @query(
     "repartition_coalesce",
-    f"""SELECT step, partitions, n, total FROM
+    f"""SELECT step, CAST(factor * ceil(n / {placement.ROWS_PER_TASK}) AS BIGINT)
+                 AS partitions, n, total FROM
           (SELECT COUNT(*) AS n, {money('"totalAmount"')} AS total FROM ordered),
-          (VALUES ('up', 8::BIGINT), ('down', 2::BIGINT)) AS s(step, partitions)""",
+          (VALUES ('up', 8), ('down', 2)) AS s(step, factor)""",
     uses="ordered",
 )
 def _(t: Tables):
-    more = _amounts(t).repartition(8, "orderNumber")
-    fewer = more.coalesce(2)
+    orders = _amounts(t)
+    factor = placement.tasks_for(orders.count())
+    more = orders.repartition(8 * factor, "orderNumber")
+    fewer = more.coalesce(2 * factor)
     return placement.partition_count(more, "up", "totalAmount").unionByName(
         placement.partition_count(fewer, "down", "totalAmount")
     )
@@ -164,8 +165,7 @@ def _(t: Tables):
     return _totals(t, md5_bucket(F.col("customerNumber"), 4), 4)
 
 
-# Keys such as HOUSEHOLD_17. One segment is not named and goes to partition 0. The
-# partitions are spread over several tasks, as a hot one would be.
+# Keys such as HOUSEHOLD_17. One segment is not named and goes to partition 0.
 @query(
     "geo_partition",
     _bucket_sql(
@@ -181,7 +181,7 @@ def _(t: Tables):
     key = F.concat_ws("_", "customerSegment", F.col("customerNumber").cast("string"))
     keyed = t.accounts().select(key.alias("key"), "creditLimit")
     bucket = named_bucket(key_prefix(F.col("key")), SEGMENT_BUCKETS, 0)
-    placed = placement.place(keyed, bucket, 4, ["key"], rows_per_task=100)
+    placed = placement.place(keyed, bucket, 4, ["key"])
     return placement.partition_totals(placed, F.col("key"), "creditLimit")
 
 
@@ -302,26 +302,26 @@ def _(t: Tables):
 
 @query(
     "cached_multi_agg",
-    """SELECT 'count' AS measure, COUNT(*) AS value FROM ordered
-       UNION ALL SELECT 'sum', CAST(SUM("orderNumber") AS BIGINT) FROM ordered
-       UNION ALL SELECT 'max', MAX("orderNumber") FROM ordered""",
-    uses="ordered",
+    """SELECT 'count' AS measure, COUNT(*) AS value FROM pairs
+       UNION ALL SELECT 'sum', CAST(SUM(value) AS BIGINT) FROM pairs
+       UNION ALL SELECT 'max', MAX(value) FROM pairs""",
+    uses="pairs",
 )
 def _(t: Tables):
-    return caching.cached_totals(t.orders(), "orderNumber")
+    return caching.cached_totals(t.pairs(), "value")
 
 
 @query(
     "persist_levels",
     """SELECT level, n, total, largest FROM
-         (SELECT COUNT(*) AS n, CAST(SUM("orderNumber") AS BIGINT) AS total,
-                 MAX("orderNumber") AS largest FROM ordered),
+         (SELECT COUNT(*) AS n, CAST(SUM(value) AS BIGINT) AS total,
+                 MAX(value) AS largest FROM pairs),
          (VALUES ('MEMORY_ONLY'), ('MEMORY_AND_DISK'), ('MEMORY_AND_DISK_DESER'),
                  ('DISK_ONLY')) AS l(level)""",
-    uses="ordered",
+    uses="pairs",
 )
 def _(t: Tables):
-    return caching.totals_by_level(t.orders(), "orderNumber")
+    return caching.totals_by_level(t.pairs(), "value")
 
 
 @query(

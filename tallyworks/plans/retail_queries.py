@@ -14,7 +14,8 @@ from tallyworks.functions.numeric import affine_steps
 from tallyworks.functions.text import padded_code
 from tallyworks.operators import aggregates, filters, joins, projections, quality
 from tallyworks.plans.registry import query
-from tallyworks.plans.tables import PAYMENTS, UNMATCHED_SEGMENT, Tables
+from tallyworks.plans.tables import PAYMENTS, TABLE_SQL, UNMATCHED_SEGMENT, Tables
+from tallyworks.schemas import PAYMENT_METHODS
 from tallyworks.sources.inline import inline_table, status_descriptions
 
 SEGMENT = "HOUSEHOLD"
@@ -26,7 +27,9 @@ def money(column: str) -> str:
 
 
 def average(column: str) -> str:
-    return f"ROUND({money(column)} / COUNT({column}), 2)"
+    """Exact average to the cent, in whole numbers; for averages above zero."""
+    total = f"SUM(CAST(CAST({column} AS DECIMAL(18,2)) * 100 AS BIGINT))"
+    return f"CAST((2 * {total} + COUNT({column})) // (2 * COUNT({column})) AS DOUBLE) / 100"
 
 
 # --- Projections and row-wise maps ------------------------------------------------
@@ -425,7 +428,7 @@ def _(t: Tables):
        GROUP BY label""",
 )
 def _(t: Tables):
-    methods = inline_table(t.spark, PAYMENTS, "o_orderpriority string, method string")
+    methods = inline_table(t.spark, PAYMENTS, PAYMENT_METHODS)
     counts = aggregates.count_by(t.raw("orders"), "o_orderpriority")
     named = counts.join(F.broadcast(methods), "o_orderpriority")
     return named.select("method", "n")
@@ -653,26 +656,20 @@ def _(t: Tables):
     return aggregates.largest_totals(t.orders())
 
 
-# Customers with more than 12 orders show their list in pieces.
 @query(
     "grouped_orders",
     """SELECT "customerNumber", piece,
               string_agg(printf('%.2f', "totalAmount"), ',' ORDER BY "orderNumber")
                 AS amounts
-       FROM (SELECT *, CASE WHEN COUNT(*) OVER (PARTITION BY "customerNumber") > 12
-                            THEN "orderNumber" // 1000 ELSE 0 END AS piece
+       FROM (SELECT *, CASE WHEN COUNT(*) OVER (PARTITION BY "customerNumber") > 100000
+                            THEN "orderNumber" // 100000 ELSE 0 END AS piece
              FROM ordered)
        GROUP BY "customerNumber", piece""",
     uses="ordered",
 )
 def _(t: Tables):
     grouped = aggregates.grouped_values(
-        t.orders(),
-        "customerNumber",
-        "orderNumber",
-        "totalAmount",
-        max_values=12,
-        span=1000,
+        t.orders(), "customerNumber", "orderNumber", "totalAmount"
     )
     texts = F.transform("grouped", lambda amount: F.format_string("%.2f", amount))
     return grouped.select(
@@ -806,12 +803,12 @@ def _(t: Tables):
 
 @query(
     "global_reduce",
-    """SELECT COUNT(*) AS n, CAST(SUM("orderNumber" * 2) AS BIGINT) AS total,
-              MAX("orderNumber" * 2) AS largest FROM ordered""",
-    uses="ordered",
+    """SELECT COUNT(*) AS n, CAST(SUM(value * 2) AS BIGINT) AS total,
+              MAX(value * 2) AS largest FROM pairs""",
+    uses="pairs",
 )
 def _(t: Tables):
-    doubled = t.orders().select((F.col("orderNumber") * 2).alias("doubled"))
+    doubled = t.pairs().select((F.col("value") * 2).alias("doubled"))
     return aggregates.number_totals(doubled, "doubled")
 
 
@@ -953,17 +950,26 @@ def _(t: Tables):
     )
 
 
-def _schema_sql(name: str, view: str, source: str) -> str:
+def _schema_sql(name: str, view: str) -> str:
     return f"""SELECT '{name}' AS table_name,
-               (SELECT COUNT(*) FROM {source}) AS total_rows,
+               (SELECT COUNT(*) FROM ({view})) AS total_rows,
                CAST(row_number() OVER () AS INTEGER) AS position, column_name,
                CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
                                 WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date'
                                 ELSE 'string' END AS column_type
-        FROM (DESCRIBE SELECT * FROM ({view}))"""
+        FROM (DESCRIBE {view})"""
 
 
-@query("schema_profile")
+@query(
+    "schema_profile",
+    " UNION ALL ".join(
+        [
+            _schema_sql("customers", TABLE_SQL["accounts"]),
+            _schema_sql("products", TABLE_SQL["products"]),
+            _schema_sql("orders", TABLE_SQL["ordered"]),
+        ]
+    ),
+)
 def _(t: Tables):
     return quality.schema_profile(
         {"customers": t.accounts(), "products": t.products(), "orders": t.orders()}

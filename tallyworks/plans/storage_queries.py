@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyworks import schemas
 from tallyworks.operators import weblogs
@@ -10,6 +11,7 @@ from tallyworks.operators.aggregates import business_summary
 from tallyworks.operators.filters import in_country
 from tallyworks.plans.log_queries import timed
 from tallyworks.plans.registry import query
+from tallyworks.plans.retail_queries import average, money
 from tallyworks.plans.tables import Tables
 from tallyworks.session import work_path
 from tallyworks.sources import columnar, delimited, lines
@@ -30,34 +32,38 @@ def _(t: Tables):
     return delimited.read_csv(t.spark, path, products.schema, header=False)
 
 
-# Amounts of cancelled orders are written as text that is no number.
+# Amounts of cancelled orders are written as text that is no number. The note holds a
+# comma, inside quotes.
 @query(
     "csv_typed_parse",
-    """SELECT CASE WHEN bad THEN NULL ELSE "orderNumber" END AS "orderNumber",
-              CASE WHEN bad THEN NULL ELSE note END AS note,
-              CASE WHEN bad THEN NULL ELSE "totalAmount" END AS "totalAmount",
-              CASE WHEN bad THEN CAST("orderNumber" AS VARCHAR) || ',"' || note
-                                 || '",n/a' END AS rejected
+    """SELECT CASE WHEN NOT bad THEN "orderNumber" END AS "orderNumber",
+              CASE WHEN NOT bad THEN "orderDate" END AS "orderDate",
+              CASE WHEN NOT bad THEN note END AS note,
+              CASE WHEN NOT bad THEN "totalAmount" END AS "totalAmount",
+              CASE WHEN bad THEN concat("orderNumber", ',', "orderDate", ',"', note,
+                                        '",n/a') END AS _corrupt_record
        FROM (SELECT *, status = 'Cancelled' AS bad, status || ', ' || "paymentMethod" AS note
              FROM ordered)""",
     uses="ordered",
 )
 def _(t: Tables):
     path = work_path(t.spark, "checked-csv")
-    bad = F.col("status") == "Cancelled"
     note = F.concat_ws(", ", "status", "paymentMethod")
-    amount = F.when(bad, "n/a").otherwise(F.col("totalAmount").cast("string"))
-    # Quoted by hand, so that the comma inside the note is part of the test.
-    text = F.concat(
-        F.col("orderNumber").cast("string"), F.lit(',"'), note, F.lit('",'), amount
+    amount = F.when(F.col("status") == "Cancelled", "n/a").otherwise(
+        F.col("totalAmount").cast("string")
+    )
+    text = F.format_string(
+        '%d,%s,"%s",%s', "orderNumber", F.col("orderDate").cast("string"), note, amount
     )
     lines.write_lines(t.orders().select(text.alias("value")), path)
-    schema = "orderNumber bigint, note string, totalAmount double"
-    empty = t.spark.createDataFrame([], schema)
-    checked = delimited.read_checked(t.spark, path, empty.schema, header=False)
-    good, rejected = delimited.split_checked(checked)
-    rejected = rejected.withColumnRenamed(delimited.CORRUPT, "rejected")
-    return good.unionByName(rejected, allowMissingColumns=True)
+    schema = (
+        StructType()
+        .add("orderNumber", "long")
+        .add("orderDate", "date")
+        .add("note", "string")
+        .add("totalAmount", "double")
+    )
+    return delimited.parse_checked(lines.read_lines(t.spark, path), schema)
 
 
 @query(
@@ -78,15 +84,13 @@ def _(t: Tables):
 
 @query(
     "merge_parts",
-    """SELECT 'Total Customers' AS "Metric", CAST(COUNT(*) AS DOUBLE) AS "Value"
+    f"""SELECT 'Total Customers' AS "Metric", CAST(COUNT(*) AS DOUBLE) AS "Value"
        FROM customer
        UNION ALL SELECT 'Total Products', COUNT(*) FROM part
        UNION ALL SELECT 'Total Orders', COUNT(*) FROM orders
        UNION ALL SELECT 'Total Revenue',
-                 CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) FROM orders
-       UNION ALL SELECT 'Average Order Value',
-                 ROUND(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)
-                       / COUNT(*), 2) FROM orders""",
+                 {money("o_totalprice")} FROM orders
+       UNION ALL SELECT 'Average Order Value', {average("o_totalprice")} FROM orders""",
 )
 def _(t: Tables):
     parts = work_path(t.spark, "summary-parts")

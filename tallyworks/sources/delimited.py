@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-CORRUPT = "_corrupt_record"
+from tallyworks.functions.once import once
 
-# A file written by one task must stay small enough for one task.
-ROWS_PER_FILE = 1_000_000
+CORRUPT = "_corrupt_record"
 
 
 def read_csv(
@@ -33,22 +30,24 @@ def canonical_orders(orders: DataFrame) -> DataFrame:
     return orders.withColumnRenamed("amount", "totalAmount")
 
 
-def read_checked(
-    spark: SparkSession, path: str, schema: StructType, *, header: bool = True
+def parse_checked(
+    lines: DataFrame, schema: StructType, *, header: str | None = None
 ) -> DataFrame:
-    """CSV scan that keeps malformed lines, whole, in ``_corrupt_record``.
+    """CSV lines (column ``value``) as typed fields, malformed lines kept whole.
 
-    Every field is parsed even when few columns are used later; else a line could
-    count as good or bad depending on the query.
+    Lines equal to the header are dropped wherever they stand. A malformed line has
+    NULL in every field and its text in ``_corrupt_record``.
     """
     wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    return (
-        spark.read.schema(wide)
-        .option("header", header)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("columnPruning", False)
-        .csv(path)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if header is not None:
+        lines = lines.where(F.col("value") != header)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide)
+    parsed = F.from_csv(F.col("value"), columns, options)
+    rows = lines.select(once(parsed).alias("row")).select("row.*")
+    good = F.col(CORRUPT).isNull()
+    return rows.select(
+        *[F.when(good, F.col(name)).alias(name) for name in schema.names], CORRUPT
     )
 
 
@@ -64,21 +63,13 @@ def write_csv(df: DataFrame, path: str, *, header: bool = True) -> None:
     df.write.mode("overwrite").option("header", header).csv(path)
 
 
-def write_report(
-    df: DataFrame,
-    path: str,
-    *,
-    header: bool = True,
-    rows_per_file: int = ROWS_PER_FILE,
-) -> int:
-    """Write as few files as the row count allows, one for a report; return how many.
+def write_report(df: DataFrame, path: str, *, header: bool = True) -> None:
+    """Write few files: one for a report, even if empty, and more as the rows grow.
 
-    An empty frame still leaves one file with the header line. ``repartition`` and
-    not ``coalesce``, so that the work before the write keeps its parallelism.
+    The rebalance hint sizes the files at run time, and unlike ``coalesce`` it leaves
+    the work before the write as parallel as it was.
     """
-    files = max(1, math.ceil(df.count() / rows_per_file))
-    write_csv(df.repartition(files), path, header=header)
-    return files
+    write_csv(df.hint("rebalance"), path, header=header)
 
 
 def merge_parts(
@@ -88,8 +79,6 @@ def merge_parts(
     schema: StructType,
     *,
     header: bool = False,
-    rows_per_file: int = ROWS_PER_FILE,
-) -> int:
+) -> None:
     """Merge a folder of part files into few files; empty parts add nothing."""
-    rows = read_csv(spark, parts, schema, header=header)
-    return write_report(rows, path, header=header, rows_per_file=rows_per_file)
+    write_report(read_csv(spark, parts, schema, header=header), path, header=header)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tallyworks import schemas
@@ -19,9 +21,13 @@ STATUS_DESCRIPTIONS = (
 
 
 def inline_table(
-    spark: SparkSession, rows: Iterable[tuple], schema: StructType | str
+    spark: SparkSession, rows: Iterable[tuple], schema: StructType
 ) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
+    """Rows known when the plan is made; by way of Arrow they become part of it."""
+    columns = list(zip(*rows)) or [() for _ in schema.names]
+    arrow_schema = to_arrow_schema(schema)
+    arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow_schema)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow_schema))
 
 
 def status_descriptions(spark: SparkSession) -> DataFrame:
