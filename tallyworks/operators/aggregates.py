@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.classify import order_size
 from tallyworks.functions.money import cents, money_avg, money_sum, sum_of_cents
-from tallyworks.operators.joins import broadcast_if_small, orders_full
+from tallyworks.operators.joins import (
+    broadcast_if_small,
+    orders_customers,
+    orders_full,
+)
 
 
 # --- Whole-table statistics ---------------------------------------------------
@@ -265,11 +269,29 @@ def product_popularity(sales: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by_product(full: DataFrame, price: str = "priceEach") -> DataFrame:
-    """Revenue by product name. Sums ``price`` alone; quantity plays no part."""
-    return (
-        full.groupBy("productName")
+def revenue_by_product(
+    details: DataFrame,
+    products: DataFrame,
+    orders: DataFrame,
+    customers: DataFrame,
+    price: str = "priceEach",
+) -> DataFrame:
+    """Revenue by product name over complete orders, largest first.
+
+    Sums ``price`` alone; quantity plays no part. The lines are added up by product
+    code before the products join, so a hot product arrives there as one row.
+    """
+    complete = orders_customers(orders, customers).select("orderNumber")
+    by_code = (
+        details.select("orderNumber", "productCode", price)
+        .join(complete, "orderNumber")
+        .groupBy("productCode")
         .agg(money_sum(price).alias("revenue"))
+    )
+    return (
+        by_code.join(products.select("productCode", "productName"), "productCode")
+        .groupBy("productName")
+        .agg(money_sum("revenue").alias("revenue"))
         .orderBy(F.desc("revenue"), "productName")
     )
 

@@ -85,10 +85,10 @@ def orders_full(
 ) -> DataFrame:
     """Order lines with product, order and customer; orders alone without lines.
 
-    Orders meet customers first: they are far fewer than the order lines, which are
-    then shuffled once for the order and once for the product.
+    Orders meet customers on their own, as they are far fewer than the order lines.
+    The lines meet their order last, so that a result by order needs no more shuffle.
     """
     headed = orders_customers(orders, customers)
     if details is None:
         return headed
-    return details.join(headed, "orderNumber").join(products, "productCode")
+    return details.join(products, "productCode").join(headed, "orderNumber")

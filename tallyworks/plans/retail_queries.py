@@ -777,7 +777,9 @@ def _(t: Tables):
     uses="details products ordered customers orders_full",
 )
 def _(t: Tables):
-    return aggregates.revenue_by_product(full_orders(t))
+    return aggregates.revenue_by_product(
+        t.details(), t.products(), t.orders(), t.customers()
+    )
 
 
 @query(
