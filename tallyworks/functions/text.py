@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: every character that Python's str.split() takes as white space.
-WHITESPACE = (
-    r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-)
+# Fixed value: every character that Python's str.split() takes as white space. \p{Z}
+# are the Unicode separators; a class of listed ranges would take twice the time.
+WHITESPACE = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\p{Z}]+"
 
 
 def words(text: Column) -> Column:

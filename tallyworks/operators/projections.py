@@ -117,26 +117,18 @@ def explode_words(texts: DataFrame, key: str, text: str) -> DataFrame:
     return texts.select(key, F.explode(words(F.col(text))).alias("word"))
 
 
-class _Scaler:
-    """Stands for whatever is costly to set up and is wanted once per task."""
-
-    def __init__(self, factor: int):
-        self.factor = pa.scalar(factor)
-
-    def __call__(self, batch: pa.RecordBatch, column: str) -> pa.RecordBatch:
-        index = batch.schema.get_field_index(column)
-        scaled = pc.multiply(batch.column(index), self.factor)
-        return batch.set_column(
-            index, column, scaled.cast(batch.schema.field(index).type)
-        )
-
-
 def scaled_per_partition(df: DataFrame, column: str, factor: int = 10) -> DataFrame:
-    """Multiply a column, with one set-up per partition and not per row."""
+    """Multiply a column, with one set-up per partition and not per row.
+
+    The function sent to the executors needs pyarrow there, but not this package.
+    """
+    place = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scaler = _Scaler(factor)
+        times = pa.scalar(factor)  # stands for a costly set-up, wanted once per task
         for batch in batches:
-            yield scaler(batch, column)
+            field = batch.schema.field(place)
+            scaled = pc.multiply(batch.column(place), times).cast(field.type)
+            yield batch.set_column(place, field, scaled)
 
     return df.mapInArrow(run, df.schema)

@@ -171,7 +171,7 @@ def _(t: Tables):
     _bucket_sql(
         """CASE "customerSegment" WHEN 'BUILDING' THEN 1 WHEN 'HOUSEHOLD' THEN 2
                                   WHEN 'MACHINERY' THEN 3 ELSE 0 END""",
-        '"customerNumber"',
+        '"customerSegment"',
         '"creditLimit"',
         "accounts",
     ),
@@ -182,14 +182,14 @@ def _(t: Tables):
     keyed = t.accounts().select(key.alias("key"), "creditLimit")
     bucket = named_bucket(key_prefix(F.col("key")), SEGMENT_BUCKETS, 0)
     placed = placement.place(keyed, bucket, 4, ["key"])
-    return placement.partition_totals(placed, F.col("key"), "creditLimit")
+    return placement.partition_totals(placed, key_prefix(F.col("key")), "creditLimit")
 
 
 @query(
     "suffix_partition",
     _bucket_sql(
         'CAST("customerNumber" % 4 AS INTEGER)',
-        '"customerNumber"',
+        '"customerSegment"',
         '"creditLimit"',
         "accounts",
     ),
@@ -200,14 +200,16 @@ def _(t: Tables):
     keyed = t.accounts().select(key.alias("key"), "creditLimit")
     bucket = modulo_bucket(suffix_number(F.col("key")), 4)
     placed = placement.place(keyed, bucket, 4, ["key"])
-    return placement.partition_totals(placed, F.col("key"), "creditLimit")
+    return placement.partition_totals(placed, key_prefix(F.col("key")), "creditLimit")
 
 
 @query(
     "priority_partition",
     f"""SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 0
                     WHEN o_orderpriority = '3-MEDIUM' THEN 1 ELSE 2 END AS "partition",
-               COUNT(*) AS n, COUNT(DISTINCT o_orderkey) AS keys,
+               COUNT(*) AS n,
+               COUNT(DISTINCT CASE o_orderpriority WHEN '1-URGENT' THEN 'HIGH'
+                              WHEN '2-HIGH' THEN 'HIGH' ELSE o_orderpriority END) AS keys,
                {money("o_totalprice")} AS total
         FROM orders GROUP BY 1""",
 )
@@ -223,7 +225,7 @@ def _(t: Tables):
     keyed = t.raw("orders").select(key.alias("key"), F.col("o_totalprice").alias("value"))
     bucket = named_bucket(key_prefix(F.col("key")), PRIORITY_BUCKETS, 2)
     placed = placement.place(keyed, bucket, 3, ["key"])
-    return placement.partition_totals(placed, F.col("key"), "value")
+    return placement.partition_totals(placed, key_prefix(F.col("key")), "value")
 
 
 @query(

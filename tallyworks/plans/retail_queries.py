@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tallyworks.functions.numeric import affine_steps
-from tallyworks.functions.text import padded_code
+from tallyworks.functions.text import WHITESPACE
 from tallyworks.operators import aggregates, filters, joins, projections, quality
 from tallyworks.plans.registry import query
 from tallyworks.plans.tables import PAYMENTS, TABLE_SQL, UNMATCHED_SEGMENT, Tables
@@ -156,10 +156,9 @@ def _(t: Tables):
 
 @query(
     "word_explode",
-    r"""SELECT doc_id, word
-        FROM (SELECT doc_id, unnest(string_split_regex(text,
-              '[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'
-              )) AS word FROM documents)
+    f"""SELECT doc_id, word
+        FROM (SELECT doc_id, unnest(string_split_regex(text, '{WHITESPACE}')) AS word
+              FROM documents)
         WHERE word <> ''""",
 )
 def _(t: Tables):

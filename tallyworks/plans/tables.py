@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.operators.weblogs import LOG_FIELDS, LOG_PATTERN
 from tallyworks.schemas import GIVEN
 
 # Order priority to payment method.
@@ -185,8 +186,7 @@ _ACCOUNTS = """
            c_acctbal AS "creditLimit", c_mktsegment AS "customerSegment"
     FROM customer"""
 
-_LOG_PATTERN = r'(\S+) - - \[([\w:/]+\s*)\] "(\S+) (\S+) (\S+)" (\d{3}) (\d+) ".*"'
-_LOG_FIELDS = "['ip','timestamp','method','endpoint','protocol','status','response_time_ms']"
+_LOG_FIELDS = ", ".join(f"'{name}'" for name in LOG_FIELDS)
 
 TABLE_SQL: dict[str, str] = {
     "accounts": _ACCOUNTS,
@@ -265,7 +265,7 @@ TABLE_SQL: dict[str, str] = {
            f.endpoint AS endpoint, f.protocol AS protocol,
            TRY_CAST(f.status AS INTEGER) AS status,
            TRY_CAST(f.response_time_ms AS INTEGER) AS response_time_ms
-    FROM (SELECT regexp_extract(value, '{_LOG_PATTERN}', {_LOG_FIELDS}) AS f FROM lines)""",
+    FROM (SELECT regexp_extract(value, '{LOG_PATTERN}', [{_LOG_FIELDS}]) AS f FROM lines)""",
     "logs": "SELECT * FROM parsed WHERE ip <> ''",
     "timed": """
     SELECT *, CAST(hour(parsed_timestamp) AS INTEGER) AS hour

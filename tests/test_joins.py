@@ -66,6 +66,7 @@ def test_outer_join_never_builds_an_unsplittable_join(without_broadcast, custome
 def test_a_hot_join_key_is_split(without_broadcast):
     spark = without_broadcast
     wanted = {
+        "spark.sql.shuffle.partitions": "32",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1000",
