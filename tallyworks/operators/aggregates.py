@@ -18,6 +18,7 @@ from tallyworks.operators.joins import (
     orders_customers,
     orders_full,
 )
+from tallyworks.session import cut_lineage
 
 
 # --- Whole-table statistics ---------------------------------------------------
@@ -172,12 +173,15 @@ def grouped_values(
     ``position`` is a whole number that no two rows of a key share. A key with more
     than ``max_values`` rows gets one list per ``span`` positions, numbered by
     ``piece``; so no list ever holds more than ``max(max_values, span)`` values.
+
+    The large keys are found at once, as they decide how the rest is planned: being
+    few, they are broadcast, and the values are shuffled only for their group.
     """
-    large = count_by(df.select(key), key).where(F.col("n") > max_values)
+    large = cut_lineage(count_by(df, key).where(F.col("n") > max_values))
     piece = F.when(F.col("n").isNull(), 0).otherwise(F.floor(F.col(position) / span))
     return (
         df.select(key, position, value)
-        .join(large, key, "left")
+        .join(broadcast_if_small(large), key, "left")
         .groupBy(key, piece.cast("bigint").alias("piece"))
         .agg(F.array_sort(F.collect_list(F.struct(position, value))).alias("pairs"))
         .select(key, "piece", F.col(f"pairs.{value}").alias("grouped"))

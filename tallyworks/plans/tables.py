@@ -38,6 +38,27 @@ AGENT = "Mozilla/5.0 (Windows)"
 UNMATCHED_SEGMENT = "MACHINERY"
 
 
+def _case(subject: str, choices, otherwise: str) -> str:
+    whens = " ".join(f"WHEN {key} THEN {value}" for key, value in choices)
+    return f"CASE {subject} {whens} ELSE {otherwise} END"
+
+
+def _quoted(pairs):
+    return [(f"'{key}'", f"'{value}'") for key, value in pairs]
+
+
+# Expressions that Spark and the check SQL read alike.
+_STATUS = """CASE WHEN o_orderstatus = 'F' THEN 'Shipped'
+                  WHEN o_orderstatus = 'O' THEN 'Processing'
+                  WHEN o_orderkey % 2 = 0 THEN 'On Hold'
+                  ELSE 'Cancelled' END"""
+_PAYMENT = _case("o_orderpriority", _quoted(PAYMENTS), "NULL")
+_METHOD = _case(
+    f"event_id % {len(METHODS)}", [(i, f"'{m}'") for i, m in enumerate(METHODS)], "NULL"
+)
+_PAGE = _case("event_type", _quoted(PAGES), "concat('/product/', 1 + event_id % 2)")
+
+
 @dataclass(frozen=True)
 class Tables:
     spark: SparkSession
@@ -50,74 +71,60 @@ class Tables:
 
     def accounts(self) -> DataFrame:
         """Customers without their country."""
-        return self.raw("customer").select(
-            F.col("c_custkey").alias("customerNumber"),
-            F.col("c_name").alias("customerName"),
-            F.col("c_acctbal").alias("creditLimit"),
-            F.col("c_mktsegment").alias("customerSegment"),
+        return self.raw("customer").selectExpr(
+            "c_custkey AS customerNumber",
+            "c_name AS customerName",
+            "c_acctbal AS creditLimit",
+            "c_mktsegment AS customerSegment",
         )
 
     def customers(self) -> DataFrame:
-        nation = self.raw("nation").select("n_nationkey", "n_name")
-        customer = self.raw("customer")
-        return customer.join(
-            nation, customer["c_nationkey"] == nation["n_nationkey"]
-        ).select(
-            F.col("c_custkey").alias("customerNumber"),
-            F.col("c_name").alias("customerName"),
-            F.col("n_name").alias("city"),
-            F.col("n_name").alias("country"),
-            F.col("c_acctbal").alias("creditLimit"),
-            F.col("c_mktsegment").alias("customerSegment"),
+        nation = self.raw("nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+        return self.raw("customer").join(nation, "c_nationkey").selectExpr(
+            "c_custkey AS customerNumber",
+            "c_name AS customerName",
+            "n_name AS city",
+            "n_name AS country",
+            "c_acctbal AS creditLimit",
+            "c_mktsegment AS customerSegment",
         )
 
     def renumbered(self) -> DataFrame:
         """All accounts, those of one segment under numbers that no order uses."""
-        moved = F.when(
-            F.col("customerSegment") == UNMATCHED_SEGMENT,
-            -1 - F.col("customerNumber"),
-        ).otherwise(F.col("customerNumber"))
-        return self.accounts().withColumn("customerNumber", moved)
+        unmatched = f"customerSegment = '{UNMATCHED_SEGMENT}'"
+        return self.accounts().withColumn(
+            "customerNumber",
+            F.expr(f"IF({unmatched}, -1 - customerNumber, customerNumber)"),
+        )
 
     def products(self) -> DataFrame:
-        return self.raw("part").select(
-            F.col("p_partkey").alias("productCode"),
-            F.col("p_name").alias("productName"),
-            F.col("p_type").alias("productCategory"),
-            F.col("p_size").alias("quantityInStock"),
-            F.col("p_retailprice").alias("buyPrice"),
-            (F.col("p_retailprice") * 2).alias("MSRP"),
+        return self.raw("part").selectExpr(
+            "p_partkey AS productCode",
+            "p_name AS productName",
+            "p_type AS productCategory",
+            "p_size AS quantityInStock",
+            "p_retailprice AS buyPrice",
+            "p_retailprice * 2 AS MSRP",
         )
 
     def orders(self) -> DataFrame:
-        date = F.col("o_orderdate").cast("date")
-        code = F.col("o_orderstatus")
-        status = (
-            F.when(code == "F", "Shipped")
-            .when(code == "O", "Processing")
-            .when(F.col("o_orderkey") % 2 == 0, "On Hold")
-            .otherwise("Cancelled")
-        )
-        payment = F.lit(None)
-        for priority, name in PAYMENTS:
-            payment = F.when(F.col("o_orderpriority") == priority, name).otherwise(payment)
-        return self.raw("orders").select(
-            F.col("o_orderkey").alias("orderNumber"),
-            date.alias("orderDate"),
-            F.date_add(date, 7).alias("requiredDate"),
-            status.alias("status"),
-            F.col("o_custkey").alias("customerNumber"),
-            F.col("o_totalprice").alias("totalAmount"),
-            payment.alias("paymentMethod"),
+        return self.raw("orders").selectExpr(
+            "o_orderkey AS orderNumber",
+            "CAST(o_orderdate AS DATE) AS orderDate",
+            "date_add(CAST(o_orderdate AS DATE), 7) AS requiredDate",
+            f"{_STATUS} AS status",
+            "o_custkey AS customerNumber",
+            "o_totalprice AS totalAmount",
+            f"{_PAYMENT} AS paymentMethod",
         )
 
     def details(self) -> DataFrame:
-        return self.raw("lineitem").select(
-            F.col("l_orderkey").alias("orderNumber"),
-            F.col("l_partkey").alias("productCode"),
-            F.col("l_linenumber").alias("lineNumber"),
-            F.col("l_extendedprice").alias("priceEach"),
-            F.col("l_quantity").alias("quantity"),
+        return self.raw("lineitem").selectExpr(
+            "l_orderkey AS orderNumber",
+            "l_partkey AS productCode",
+            "l_linenumber AS lineNumber",
+            "l_extendedprice AS priceEach",
+            "l_quantity AS quantity",
         )
 
     def sales(self) -> DataFrame:
@@ -128,59 +135,30 @@ class Tables:
 
     def pairs(self) -> DataFrame:
         """One key holds nine tenths of all rows."""
-        key = F.when(F.col("l_orderkey") % 10 < 9, "popular_key").otherwise(
-            F.concat(F.lit("key_"), (F.col("l_suppkey") % 10).cast("string"))
-        )
-        return self.raw("lineitem").select(
-            key.alias("key"),
-            F.col("l_quantity").cast("bigint").alias("value"),
-            F.col("l_orderkey").alias("orderNumber"),
-            F.col("l_linenumber").alias("lineNumber"),
+        return self.raw("lineitem").selectExpr(
+            "IF(l_orderkey % 10 < 9, 'popular_key', concat('key_', l_suppkey % 10)) AS key",
+            "CAST(l_quantity AS BIGINT) AS value",
+            "l_orderkey AS orderNumber",
+            "l_linenumber AS lineNumber",
         )
 
     def log_lines(self) -> DataFrame:
         """Every event as a line of a web-server log; some lines are malformed."""
-        event, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
-        page = F.concat(F.lit("/product/"), (1 + event % 2).cast("string"))
-        for name, path in PAGES:
-            page = F.when(kind == name, path).otherwise(page)
-        method = F.lit(METHODS[0])
-        for number, text in enumerate(METHODS):
-            method = F.when(event % len(METHODS) == number, text).otherwise(method)
-        shade = F.regexp_extract("props", r"(\d+)", 1).cast("int") % len(STATUSES)
-        status = F.lit(STATUSES[0])
-        for number, code in enumerate(STATUSES):
-            status = F.when(shade == number, code).otherwise(status)
-        time = F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss")
-        late = F.date_format("ts", "MMM/yyyy:HH:mm:ss")
-        time = F.when(event % 89 == 0, F.concat(time, F.lit(" +0000"))).when(
-            event % 83 == 0, F.concat(F.lit("99/"), late)
-        ).otherwise(time)
-        line = F.format_string(
-            f'192.168.%d.%d - - [%s] "%s %s HTTP/1.1" %d %d "{AGENT}"',
-            F.floor(user / 256),
-            user % 256,
-            time,
-            method,
-            page,
-            status,
-            F.floor(F.col("value") * 50),
-        )
-        junk = F.concat(F.lit("junk "), event.cast("string"))
-        return self.raw("events").select(
-            F.when(event % 97 == 0, junk).otherwise(line).alias("value")
+        shade = f"CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) % {len(STATUSES)}"
+        status = _case(shade, enumerate(STATUSES), "NULL")
+        time = """CASE WHEN event_id % 89 = 0
+                       THEN date_format(ts, 'dd/MMM/yyyy:HH:mm:ss +0000')
+                       WHEN event_id % 83 = 0
+                       THEN date_format(ts, '99/MMM/yyyy:HH:mm:ss')
+                       ELSE date_format(ts, 'dd/MMM/yyyy:HH:mm:ss') END"""
+        line = f"""format_string('192.168.%d.%d - - [%s] "%s %s HTTP/1.1" %d %d "{AGENT}"',
+                                 user_id div 256, user_id % 256, {time}, {_METHOD},
+                                 {_PAGE}, {status}, floor(value * 50))"""
+        return self.raw("events").selectExpr(
+            f"IF(event_id % 97 = 0, concat('junk ', event_id), {line}) AS value"
         )
 
 
-def _case(subject: str, choices, otherwise: str) -> str:
-    whens = " ".join(f"WHEN {key} THEN {value}" for key, value in choices)
-    return f"CASE {subject} {whens} ELSE {otherwise} END"
-
-
-def _quoted(pairs):
-    return [(f"'{key}'", f"'{value}'") for key, value in pairs]
-
-
 _ACCOUNTS = """
     SELECT c_custkey AS "customerNumber", c_name AS "customerName",
            c_acctbal AS "creditLimit", c_mktsegment AS "customerSegment"
@@ -209,12 +187,9 @@ TABLE_SQL: dict[str, str] = {
     SELECT o_orderkey AS "orderNumber",
            CAST(o_orderdate AS DATE) AS "orderDate",
            CAST(o_orderdate AS DATE) + 7 AS "requiredDate",
-           CASE WHEN o_orderstatus = 'F' THEN 'Shipped'
-                WHEN o_orderstatus = 'O' THEN 'Processing'
-                WHEN o_orderkey % 2 = 0 THEN 'On Hold'
-                ELSE 'Cancelled' END AS status,
+           {_STATUS} AS status,
            o_custkey AS "customerNumber", o_totalprice AS "totalAmount",
-           {_case("o_orderpriority", _quoted(PAYMENTS), "NULL")} AS "paymentMethod"
+           {_PAYMENT} AS "paymentMethod"
     FROM orders""",
     "details": """
     SELECT l_orderkey AS "orderNumber", l_partkey AS "productCode",
@@ -251,9 +226,9 @@ TABLE_SQL: dict[str, str] = {
                      THEN '99/' || strftime(ts, '%b/%Y:%H:%M:%S')
                      ELSE strftime(ts, '%d/%b/%Y:%H:%M:%S') END
              || '] "'
-             || {_case("event_id % 4", [(i, f"'{m}'") for i, m in enumerate(METHODS)], "NULL")}
+             || {_METHOD}
              || ' '
-             || {_case("event_type", _quoted(PAGES), "'/product/' || CAST(1 + event_id % 2 AS VARCHAR)")}
+             || {_PAGE}
              || ' HTTP/1.1" '
              || CAST({_case(r"CAST(regexp_extract(props, '(\d+)', 1) AS INTEGER) % 5",
                             list(enumerate(STATUSES)), "NULL")} AS VARCHAR)

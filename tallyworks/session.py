@@ -9,10 +9,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Bytes of input that one shuffle partition should stand for, and the most
-# partitions asked for. AQE merges small ones back together at run time.
-BYTES_PER_PARTITION = 256 * 1024 * 1024
-MAX_PARTITIONS = 50_000
+MB = 1024 * 1024
+
+# A shuffle has (scan tasks) x (shuffle partitions) blocks, so both are bounded: at
+# 100 TB about 100,000 scan tasks of 1 GB meet 30,000 partitions. Queries shuffle a few
+# columns only, which leaves well under 1 GB in a partition.
+SCAN_SPLIT = 128 * MB
+MAX_SCAN_SPLIT = 1024 * MB
+SCAN_TASKS = 100_000
+BYTES_PER_PARTITION = 256 * MB
+MAX_PARTITIONS = 30_000
 
 _RUNTIME_SETTINGS = {
     # Log lines carry no zone: parsing must not depend on where the driver runs.
@@ -23,7 +29,7 @@ _RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_sized: set[tuple[str, str]] = set()
+_input_bytes: dict[tuple[str, str], int] = {}
 
 
 def tune(spark: SparkSession, data_dir: str | None = None) -> SparkSession:
@@ -32,31 +38,42 @@ def tune(spark: SparkSession, data_dir: str | None = None) -> SparkSession:
         spark.conf.set(key, value)
     if data_dir is not None:
         mark = (spark.sparkContext.applicationId, data_dir)
-        if mark not in _sized:
-            _size_shuffles(spark, data_dir)
-            _sized.add(mark)
+        if mark not in _input_bytes:
+            _input_bytes[mark] = input_bytes(spark, data_dir)
+        size_tasks(spark, _input_bytes[mark])
     return spark
 
 
-def partitions_for(input_bytes: int) -> int:
-    return min(MAX_PARTITIONS, max(1, math.ceil(input_bytes / BYTES_PER_PARTITION)))
-
-
-def _size_shuffles(spark: SparkSession, data_dir: str) -> None:
-    """Raise the initial shuffle partition count when the input calls for it."""
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files under a path. The files are listed, not read."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .load(data_dir)
+        .load(path)
     )
-    # Only the file listing is read: ``content`` is pruned away.
-    size = files.agg(F.sum("length")).first()[0] or 0
-    wanted = partitions_for(size)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def partitions_for(size: int) -> int:
+    return min(MAX_PARTITIONS, max(1, math.ceil(size / BYTES_PER_PARTITION)))
+
+
+def scan_split_for(size: int) -> int:
+    return min(MAX_SCAN_SPLIT, max(SCAN_SPLIT, math.ceil(size / SCAN_TASKS)))
+
+
+def size_tasks(spark: SparkSession, size: int) -> None:
+    """Raise shuffle partitions and scan splits where the input calls for more.
+
+    The shuffle starts with the raised number; AQE merges what turns out small.
+    """
+    partitions = partitions_for(size)
+    if partitions > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted)
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
         )
+    if scan_split_for(size) > SCAN_SPLIT:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan_split_for(size)))
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -3,19 +3,33 @@ import pytest
 from tallyworks import session
 
 
-def test_shuffles_grow_with_the_input():
+def test_tasks_grow_with_the_input():
     assert session.partitions_for(0) == 1
     assert session.partitions_for(10 * session.BYTES_PER_PARTITION) == 10
-    assert session.partitions_for(10**18) == session.MAX_PARTITIONS
+    assert session.partitions_for(10**14) == session.MAX_PARTITIONS
+    assert session.scan_split_for(10**12) == session.SCAN_SPLIT
+    assert 10**14 / session.scan_split_for(10**14) <= session.SCAN_TASKS
 
 
 def test_tune_measures_the_input(spark, monkeypatch):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    monkeypatch.setattr(session, "BYTES_PER_PARTITION", 1024)
-    monkeypatch.setattr(session, "_sized", set())
+    partitions = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    split = "spark.sql.files.maxPartitionBytes"
     session.tune(spark, "/root/testdata/sf0.001")
-    assert int(spark.conf.get(key)) > 8
-    spark.conf.unset(key)
+    assert spark.conf.get(partitions, None) is None
+    before = spark.conf.get(split)
+    session.size_tasks(spark, 10**14)
+    assert int(spark.conf.get(partitions)) == session.MAX_PARTITIONS
+    assert int(spark.conf.get(split)) == 10**9
+    spark.conf.unset(partitions)
+    spark.conf.set(split, before)
+
+
+def test_input_size_is_that_of_the_files(spark):
+    import os
+
+    folder = "/root/testdata/sf0.001"
+    expected = sum(os.path.getsize(f"{folder}/{name}") for name in os.listdir(folder))
+    assert session.input_bytes(spark, folder) == expected
 
 
 def test_work_paths_are_new_and_under_the_shared_folder(spark):
