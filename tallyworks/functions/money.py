@@ -1,9 +1,9 @@
 """Exact sums of money held in double columns.
 
 A plain double sum depends on the order in which rows arrive. Casting every row to
-a decimal is exact but costs about ten times as much. Here each amount becomes a
-whole number of cents whose high and low bits are added up as two long sums: exact,
-order-free, and too wide to overflow.
+a decimal is exact but costs about ten times as much. Here each amount is rounded to
+whole cents, whose high and low bits are added up as two long sums: exact, order-free,
+and too wide to overflow.
 """
 
 from __future__ import annotations

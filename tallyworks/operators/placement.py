@@ -43,6 +43,13 @@ class Placed:
         return partition
 
 
+def even_bounds(df: DataFrame, key: str, partitions: int) -> list[int]:
+    """Upper bounds for ``range_bucket`` that share the rows out about evenly."""
+    parts = [number / partitions for number in range(1, partitions)]
+    bounds = df.agg(F.percentile_approx(key, parts, 10_000)).first()[0]
+    return sorted(set(bounds or []))
+
+
 def tasks_for(rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
     return max(1, math.ceil(rows / rows_per_task))
 

@@ -40,7 +40,9 @@ def without_columns(df: DataFrame, *columns: str) -> DataFrame:
     return df.drop(*columns)
 
 
-def with_order_size(orders: DataFrame, small: float = 1000, medium: float = 5000):
+def with_order_size(
+    orders: DataFrame, small: float = 1000, medium: float = 5000
+) -> DataFrame:
     return orders.withColumn(
         "orderSize", order_size(F.col("totalAmount"), small, medium)
     )

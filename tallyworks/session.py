@@ -79,6 +79,7 @@ def size_tasks(spark: SparkSession, size: int) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The folder that every executor can reach, as the cluster names it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -94,8 +95,7 @@ def work_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` now and keep it in the shared folder, not on executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(work_path(df.sparkSession, "checkpoint"))
-    return df.checkpoint(eager=True)
+    """Compute ``df`` now and keep it as a table in the shared folder."""
+    path = work_path(df.sparkSession, "kept")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

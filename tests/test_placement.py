@@ -107,6 +107,17 @@ def test_more_and_fewer_partitions_keep_the_rows(orders):
         assert (step, n, total) == (label, 12, 69.0) and partitions <= limit
 
 
+def test_even_bounds_follow_the_data(spark):
+    df = spark.range(1000).select("id", (F.col("id") * F.col("id")).alias("k"))
+    bounds = placement.even_bounds(df, "k", 4)
+    placed = placement.place(df, range_bucket(F.col("k"), bounds), 4, ["id"])
+    sizes = dict(rows(placement.partition_rows(placed)))
+    assert len(sizes) == 4 and all(245 <= n <= 255 for n in sizes.values())
+    one_key = df.withColumn("k", F.lit(7))
+    assert placement.even_bounds(one_key, "k", 4) == [7]
+    assert placement.even_bounds(one_key.limit(0), "k", 4) == []
+
+
 def test_placement_is_one_shuffle(orders):
     placed = placement.place(orders, modulo_bucket(F.col("orderNumber"), 4), 4, ["orderNumber"])
     assert plan(placed.rows).count("Exchange") == 1

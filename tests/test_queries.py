@@ -1,10 +1,12 @@
 """Every registered query against its check SQL."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as contract
 from tallyworks.plans.catalog import QUERIES
-from tests.conftest import DATA_DIR
+from tests.conftest import DATA_DIR, plan
 from tests.oracle import connect, differences
 
 
@@ -16,7 +18,12 @@ def duck():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     query = QUERIES[name]
-    mine = query.run(spark, DATA_DIR).toArrow()
+    df = query.run(spark, DATA_DIR)
+    mine = df.toArrow()
+    text = plan(df)
+    assert "Cartesian" not in text and "NestedLoop" not in text
+    if name != "partition_resource":
+        assert not re.search("EvalPython|MapInArrow|MapInPandas|ExistingRDD", text)
     if query.sql is None:
         assert mine.num_rows > 0
         return

@@ -47,7 +47,11 @@ def test_cut_lineage_reads_from_files(spark):
 def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
     class Cluster:
         conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
-        sparkContext = type("Context", (), {"master": "spark://host"})
+        sparkContext = type(
+            "Context",
+            (),
+            {"master": "spark://host", "getCheckpointDir": staticmethod(lambda: None)},
+        )
 
     with pytest.raises(RuntimeError):
         session.shared_root(Cluster)
