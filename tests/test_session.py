@@ -1,6 +1,7 @@
 import pytest
 
 from tallyworks import session
+from tests.conftest import plan
 
 
 def test_tasks_grow_with_the_input():
@@ -38,10 +39,12 @@ def test_work_paths_are_new_and_under_the_shared_folder(spark):
     assert one.startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
 
 
-def test_cut_lineage_reads_from_files(spark):
-    kept = session.cut_lineage(spark.range(5))
-    assert kept.count() == 5
-    assert "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
+@pytest.mark.parametrize("keep", [session.cut_lineage, session.keep_table])
+def test_kept_results_no_longer_depend_on_their_input(spark, keep):
+    kept = keep(spark.range(5).where("id > 1"))
+    assert sorted(row[0] for row in kept.collect()) == [2, 3, 4]
+    assert "Range" not in plan(kept)
+    assert keep(spark.range(0)).schema == spark.range(0).schema
 
 
 def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
