@@ -44,7 +44,7 @@ def test_kept_results_no_longer_depend_on_their_input(spark, keep):
     kept = keep(spark.range(5).where("id > 1"))
     assert sorted(row[0] for row in kept.collect()) == [2, 3, 4]
     assert "Range" not in plan(kept)
-    assert keep(spark.range(0)).schema == spark.range(0).schema
+    assert keep(spark.range(0)).dtypes == [("id", "bigint")]
 
 
 def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
