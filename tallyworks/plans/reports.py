@@ -20,7 +20,11 @@ def retail_reports(
     orders: DataFrame,
     details: DataFrame | None = None,
 ) -> Reports:
-    """Profiles, distributions, statistics and business questions."""
+    """Profiles, distributions, statistics and business questions.
+
+    Each report reads its table anew and only the columns it needs, so large tables
+    are best given as Parquet, or kept for the while by ``caching.persisted``.
+    """
     tables = {"customers": customers, "products": products, "orders": orders}
     keys = {
         "customers": (customers, "customerNumber"),

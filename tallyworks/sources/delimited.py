@@ -17,9 +17,14 @@ def read_csv(
     schema: StructType | None = None,
     *,
     header: bool = True,
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
-    """Typed CSV scan. Without a schema the types are inferred, at the cost of a pass."""
-    reader = spark.read.option("header", header)
+    """Typed CSV scan. Without a schema the types are inferred, at the cost of a pass.
+
+    ``mode`` says what a malformed line does: NULL fields, a dropped line
+    (``DROPMALFORMED``) or a failed job (``FAILFAST``). ``parse_checked`` keeps them.
+    """
+    reader = spark.read.option("header", header).option("mode", mode)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)

@@ -115,18 +115,18 @@ def test_largest_orders_break_ties_by_number(orders):
 
 def test_customer_projections(spark):
     customers = spark.createDataFrame(
-        [(1, "Alice", "0", "New York", "USA", "Enterprise", 80000.0),
-         (2, "Bob", "1", "Toronto", "Canada", "SMB", 30000.0)],
+        [(31, "Ines", "0", "Porto", "Portugal", "Enterprise", 75000.5),
+         (32, "Juma", "1", "Arusha", "Tanzania", "SMB", 25000.0)],
         "customerNumber int, customerName string, phone string, city string, "
         "country string, customerSegment string, creditLimit double",
     )
     upper = projections.upper_names(customers)
-    assert rows(upper) == [("Alice", "0", "New York", "USA", "ALICE")]
+    assert rows(upper) == [("Ines", "0", "Porto", "Portugal", "INES")]
     assert rows(projections.city_country(customers)) == [
-        ("New York", "USA"), ("Toronto", "Canada"),
+        ("Arusha", "Tanzania"), ("Porto", "Portugal"),
     ]
     assert rows(projections.formatted_ids(customers)) == [
-        (1, "CUST-00001"), (2, "CUST-00002"),
+        (31, "CUST-00031"), (32, "CUST-00032"),
     ]
     assert [r[3] for r in rows(projections.customer_tiers(customers))] == ["High", "Medium"]
 

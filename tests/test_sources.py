@@ -47,6 +47,19 @@ def test_amount_is_renamed_and_total_amount_is_kept(spark):
     assert delimited.canonical_orders(new).columns == new.columns
 
 
+def test_csv_modes_for_malformed_lines(spark, path):
+    text = spark.createDataFrame([("a,1.5",), ("b,much",)], "value string")
+    lines.write_lines(text, path)
+
+    def read(mode):
+        return delimited.read_csv(spark, path, schemas.METRICS, header=False, mode=mode)
+
+    assert rows(read("PERMISSIVE")) == [("a", 1.5), ("b", None)]
+    assert rows(read("DROPMALFORMED")) == [("a", 1.5)]
+    with pytest.raises(Exception, match="MALFORMED"):
+        read("FAILFAST").collect()
+
+
 CHECKED = (
     StructType().add("id", "long").add("name", "string").add("amount", "double")
 )
@@ -121,7 +134,7 @@ def test_rebalance_is_planned_before_a_partitioned_write(spark):
 
 def test_lines_and_minimum_splits(spark, path):
     text = spark.range(1, 1001).select(
-        F.format_string("Line %d: Some data here", "id").alias("value")
+        F.format_string("row number %d of the file", "id").alias("value")
     )
     lines.write_lines(text.coalesce(1), path)
     key = "spark.sql.files.minPartitionNum"
