@@ -11,9 +11,9 @@ from tallyworks.operators.aggregates import count_by
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.1) -> DataFrame:
     """Keys with at least ``share`` of all rows; at most ``1 / share`` of them."""
-    total = df.agg(F.count("*")).scalar()
-    counts = count_by(df, key).withColumn("share", F.col("n") / total)
-    return counts.where(F.col("share") >= share)
+    counts = count_by(df, key)
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("share", F.col("n") / total).where(F.col("share") >= share)
 
 
 def salt_keys(

@@ -33,6 +33,12 @@ def test_hot_keys(pairs):
     assert len(rows(skew.hot_keys(pairs, "key", 0.01))) == 11
 
 
+def test_shares_shuffle_the_keys_once(pairs):
+    hot = skew.hot_keys(pairs, "key")
+    hot.collect()
+    assert "ReusedExchange" in plan(hot)
+
+
 def test_only_hot_keys_are_salted(pairs):
     salted = skew.salt_keys(pairs, "key", ("hot",), 10, F.col("id"))
     counts = dict(rows(skew.salted_key_counts(salted, "key")))
