@@ -56,12 +56,14 @@ def parse_lines(
 ) -> DataFrame:
     """Log lines (column ``value``) as typed fields.
 
-    The pattern may match anywhere in a line. It runs once per line, not once per
+    The pattern has one group per field and may match anywhere in a line. It runs once per line, not once per
     field: the match is rewritten as its groups with line breaks between, which no line
     can contain, and split. Lines without a match are dropped, or kept with empty fields.
     """
     groups = "".join(f"\n${number}" for number in range(1, len(LOG_FIELDS) + 1))
-    rewritten = F.regexp_replace("value", rf"^.*?{pattern}.*$", groups)
+    # The text around the match may hold any character, so there "." takes them all.
+    around = rf"(?s:^.*?){pattern}(?s:.*$)"
+    rewritten = F.regexp_replace("value", around, groups)
     split = lines.select(once(F.split(rewritten, "\n")).alias("fields"))
     matched = F.size("fields") == len(LOG_FIELDS) + 1
     if keep_invalid:

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyworks.operators import weblogs
 from tests.conftest import plan, rows
@@ -48,18 +49,26 @@ def test_which_lines_match(spark):
     }
 
 
-def test_fields_are_those_of_a_regex_search(spark):
-    import re
+SEPARATORS = [
+    f"before{mark}{line()}{mark}after" for mark in ("\u2028", "\x85", "\x0b", "\x01", "$1")
+]
 
-    pattern = re.compile(weblogs.LOG_PATTERN)
-    parsed = weblogs.parse_lines(text(spark, ODD.values()), keep_invalid=True).collect()
-    for value, row in zip(ODD.values(), parsed):
-        found = pattern.search(value)
-        if found is None:
-            assert tuple(row) == ("", "", "", "", "", None, None)
-        else:
-            fields = found.groups()
-            assert tuple(row) == (*fields[:5], int(fields[5]), int(fields[6]))
+
+def test_fields_are_those_of_one_extraction_each(spark):
+    values = text(spark, [*ODD.values(), *SEPARATORS, line(page="/a$2\\b"), line() + line()])
+    parsed = weblogs.parse_lines(values, keep_invalid=True)
+    fields = [
+        F.regexp_extract("value", weblogs.LOG_PATTERN, place).alias(name)
+        for place, name in enumerate(weblogs.LOG_FIELDS, start=1)
+    ]
+    expected = values.select(*fields)
+    for name in weblogs.NUMBER_FIELDS:
+        expected = expected.withColumn(name, F.col(name).try_cast("int"))
+    assert rows(parsed) == rows(expected)
+    valid = parsed.where("ip <> ''").count()
+    assert valid == 5 + len(SEPARATORS) + 2
+    assert weblogs.line_quality(values).first()["valid"] == valid
+    assert weblogs.parse_lines(values).count() == valid
 
 
 def test_numbers_too_large_become_null(spark):
