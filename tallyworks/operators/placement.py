@@ -16,6 +16,8 @@ from tallyworks.functions.money import money_sum
 # The most rows that one task is given.
 ROWS_PER_TASK = 5_000_000
 
+_TASK = "_placed_in_task"
+
 
 @dataclass(frozen=True)
 class Placed:
@@ -58,13 +60,16 @@ def place(
     df: DataFrame,
     bucket: Column,
     partitions: int,
-    row_id: Sequence[str],
+    *,
+    row_id: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
 ) -> Placed:
     """Shuffle each row to the partition that ``bucket`` names; NULL goes to 0.
 
-    The partitions are counted first (``partitions`` numbers), so that a hot one can
-    be spread over several tasks by a salt taken from the ``row_id`` columns.
+    The partitions are counted first (``partitions`` numbers), so that a hot one can be
+    spread over several tasks. A row's task must not change when lost work is redone:
+    it follows from the row's place in the scan, which spreads even exact copies. For a
+    frame that has been shuffled, name the columns that tell its rows apart instead.
     """
     target = F.pmod(F.coalesce(bucket, F.lit(0)), F.lit(partitions)).cast("int")
     counted = df.groupBy(target.alias("p")).agg(F.count("*").alias("n")).collect()
@@ -74,10 +79,14 @@ def place(
     if total == partitions:
         return Placed(df.repartitionById(partitions, target), tasks)
     starts = [end - count for end, count in zip(accumulate(tasks), tasks)]
-    place_in = F.element_at(F.array(*map(F.lit, starts)), target + 1)
+    first = F.element_at(F.array(*map(F.lit, starts)), target + 1)
     spread = F.element_at(F.array(*map(F.lit, tasks)), target + 1)
-    spark_id = place_in + row_salt(spread, *row_id)
-    return Placed(df.repartitionById(total, spark_id), tasks)
+    if row_id:
+        salt = row_salt(spread, *row_id)
+    else:
+        salt = F.pmod(F.monotonically_increasing_id(), spread).cast("int")
+    salted = df.withColumn(_TASK, first + salt)
+    return Placed(salted.repartitionById(total, F.col(_TASK)).drop(_TASK), tasks)
 
 
 def partition_rows(placed: Placed) -> DataFrame:

@@ -35,9 +35,9 @@ def _amounts(t: Tables) -> DataFrame:
     return t.orders().select("orderNumber", "customerNumber", "totalAmount")
 
 
-def _by_number(df: DataFrame, partitions: int, *more_id: str) -> placement.Placed:
+def _by_number(df: DataFrame, partitions: int) -> placement.Placed:
     bucket = modulo_bucket(F.col("orderNumber"), partitions)
-    return placement.place(df, bucket, partitions, ["orderNumber", *more_id])
+    return placement.place(df, bucket, partitions)
 
 
 @query(
@@ -58,7 +58,7 @@ def _(t: Tables):
     uses="pairs",
 )
 def _(t: Tables):
-    placed = _by_number(t.pairs().drop("key"), 3, "lineNumber")
+    placed = _by_number(t.pairs().drop("key"), 3)
     return placement.partition_sums(placed, "value")
 
 
@@ -88,7 +88,7 @@ def _(t: Tables):
     uses="pairs",
 )
 def _(t: Tables):
-    placed = _by_number(t.pairs().drop("value"), 8, "lineNumber")
+    placed = _by_number(t.pairs().drop("value"), 8)
     return placement.partition_top_key(placed, "key")
 
 
@@ -118,7 +118,7 @@ def _bucket_sql(bucket: str, key: str, value: str, table: str) -> str:
 
 
 def _totals(t: Tables, bucket, partitions: int) -> DataFrame:
-    placed = placement.place(_amounts(t), bucket, partitions, ["orderNumber"])
+    placed = placement.place(_amounts(t), bucket, partitions)
     return placement.partition_totals(placed, F.col("customerNumber"), "totalAmount")
 
 
@@ -181,7 +181,7 @@ def _(t: Tables):
     key = F.concat_ws("_", "customerSegment", F.col("customerNumber").cast("string"))
     keyed = t.accounts().select(key.alias("key"), "creditLimit")
     bucket = named_bucket(key_prefix(F.col("key")), SEGMENT_BUCKETS, 0)
-    placed = placement.place(keyed, bucket, 4, ["key"])
+    placed = placement.place(keyed, bucket, 4)
     return placement.partition_totals(placed, key_prefix(F.col("key")), "creditLimit")
 
 
@@ -199,7 +199,7 @@ def _(t: Tables):
     key = F.concat_ws("_", "customerSegment", F.col("customerNumber").cast("string"))
     keyed = t.accounts().select(key.alias("key"), "creditLimit")
     bucket = modulo_bucket(suffix_number(F.col("key")), 4)
-    placed = placement.place(keyed, bucket, 4, ["key"])
+    placed = placement.place(keyed, bucket, 4)
     return placement.partition_totals(placed, key_prefix(F.col("key")), "creditLimit")
 
 
@@ -224,7 +224,7 @@ def _(t: Tables):
     key = F.concat_ws("_", name, F.col("o_orderkey").cast("string"))
     keyed = t.raw("orders").select(key.alias("key"), F.col("o_totalprice").alias("value"))
     bucket = named_bucket(key_prefix(F.col("key")), PRIORITY_BUCKETS, 2)
-    placed = placement.place(keyed, bucket, 3, ["key"])
+    placed = placement.place(keyed, bucket, 3)
     return placement.partition_totals(placed, key_prefix(F.col("key")), "value")
 
 
@@ -245,7 +245,7 @@ def _(t: Tables):
     }
     frames = {"default": _amounts(t)}
     for name, (bucket, partitions) in buckets.items():
-        placed = placement.place(_amounts(t), bucket, partitions, ["orderNumber"])
+        placed = placement.place(_amounts(t), bucket, partitions)
         frames[name] = placed.rows
     return reduce(
         DataFrame.unionByName,

@@ -6,7 +6,6 @@ from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tallyworks import schemas
@@ -25,9 +24,8 @@ def inline_table(
 ) -> DataFrame:
     """Rows known when the plan is made; by way of Arrow they become part of it."""
     columns = list(zip(*rows)) or [() for _ in schema.names]
-    arrow_schema = to_arrow_schema(schema)
-    arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow_schema)]
-    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow_schema))
+    table = pa.table({name: list(column) for name, column in zip(schema.names, columns)})
+    return spark.createDataFrame(table, schema)
 
 
 def status_descriptions(spark: SparkSession) -> DataFrame:

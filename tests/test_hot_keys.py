@@ -71,7 +71,8 @@ def test_hot_keys_change_no_result(without_broadcast, hot_dir, duck, name, monke
             f"tallyworks.operators.{module}.broadcast_if_small", lambda df: df
         )
     # So few rows per task that every placed partition is spread over several.
-    monkeypatch.setattr(placement.place, "__defaults__", (1000,))
+    small = {"row_id": (), "rows_per_task": 1000}
+    monkeypatch.setattr(placement.place, "__kwdefaults__", small)
     query = QUERIES[name]
     mine = query.run(without_broadcast, hot_dir).toArrow()
     assert differences(mine, duck.sql(query.sql).to_arrow_table()) == []
