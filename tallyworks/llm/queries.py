@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import bpe, languages, licenses, simhash, tokenfiles
+from tallyworks.llm import bpe, languages, licenses, simhash, suffixes, tokenfiles
 from tallyworks.llm.common import documents
 from tallyworks.session import work_path
 
@@ -40,6 +40,19 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_suffixes")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(documents(spark, sf_dir, "doc_id", "text"), length=200)
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        removed.cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op3_token_files")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "token-files")
