@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import bpe, languages, licenses, simhash, suffixes, tokenfiles
+from tallyworks.llm import bpe, languages, licenses, pst, simhash, suffixes, tokenfiles
 from tallyworks.llm.common import documents
 from tallyworks.session import work_path
 
@@ -62,6 +62,22 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_suffix_tree")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    held_out = pst.held_out(F.col("doc_id"))
+    found = pst.score(docs, ~held_out)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        (~F.col("trains")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 @query("op6_bpe")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.digests(documents(spark, sf_dir, "doc_id", "text"), WORD_BPE)
