@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import bpe, languages, licenses, pst, simhash, suffixes, tokenfiles
+from tallyworks.llm import (
+    bpe,
+    languages,
+    licenses,
+    pst,
+    simhash,
+    spotsigs,
+    suffixes,
+    tokenfiles,
+)
 from tallyworks.llm.common import documents
 from tallyworks.session import work_path
 
@@ -84,6 +93,20 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+@query("op7_spotsigs")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spotsigs.edited_pairs(documents(spark, sf_dir, "doc_id", "text"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        spotsigs.printed("own").alias("fingerprint"),
+        spotsigs.printed("changed").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 @query("op9_licenses")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(documents(spark, sf_dir, "doc_id", "text"))
