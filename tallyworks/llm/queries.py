@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm import (
     bpe,
+    decontaminate,
     languages,
     licenses,
     pst,
@@ -107,6 +108,21 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_decontaminate")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    found = decontaminate.contaminated(docs, benchmark)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.col("item").alias("item_id"),
+        "windows",
+        "longest",
+        "share",
+        "changed",
+    )
+
+
 @query("op9_licenses")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(documents(spark, sf_dir, "doc_id", "text"))

@@ -29,7 +29,7 @@ REACH = 6
 # Documents that one bucket of neighbouring ids holds.
 BUCKET_ROWS = 4096
 
-_MARK = ""
+_MARK = "\ue000"
 
 
 def with_signatures(
