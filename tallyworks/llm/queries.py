@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm import (
@@ -13,6 +13,7 @@ from tallyworks.llm import (
     decontaminate,
     languages,
     licenses,
+    pii,
     pst,
     simhash,
     spotsigs,
@@ -72,6 +73,26 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_pii")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(documents(spark, sf_dir, "doc_id", "text"))
+    base = F.filter("spans", lambda span: span["base"])
+
+    def counted(kind: str) -> Column:
+        return F.size(F.filter(base, lambda span: span["kind"] == kind)).cast("long")
+
+    def printed(spans: Column | str) -> Column:
+        one = lambda span: F.concat_ws(":", span["kind"], span["start"], span["end"])
+        return F.array_join(F.transform(spans, one), ",")
+
+    return found.select(
+        "doc_id",
+        *(counted(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS),
+        F.sha2(printed(base), 256).alias("base_sha256"),
+        printed("spans").alias("spans"),
+    )
+
+
 @query("op5_suffix_tree")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
