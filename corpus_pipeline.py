@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import languages, simhash
+from tallyworks.llm import bpe, decontaminate, languages, pii, simhash
 from tallyworks.llm.common import documents
+from tallyworks.llm.queries import WORD_BPE
 from tallyworks.session import keep_table
 
 
@@ -27,9 +28,33 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that give away an item of the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    found = decontaminate.contaminated(docs, benchmark).select("row").distinct()
+    numbered = docs.withColumn("row", F.monotonically_increasing_id())
+    return numbered.join(found, "row", "left_anti").select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data in the texts."""
+    return pii.masked(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the texts, and the texts as the ids decode."""
+    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), WORD_BPE)
+    return bpe.decode(encoded.drop("text"), WORD_BPE).select(
+        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded"
+    )
+
+
 STAGES = [
     ("language ID", identify_language),
     ("SimHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("PII", mask_personal_data),
+    ("BPE encoding and decoding", encode),
 ]
 
 # No stage before the last can be put in SQL.
