@@ -28,7 +28,8 @@ ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 # Text that one task encodes, sorts and writes.
 PART_BYTES = 24 << 20
-CACHED_WORDS = 200_000
+# Words, and letter runs in them, that each Python worker keeps with their ids.
+CACHED_WORDS = 500_000
 
 # Letters of one byte, or of two in the Latin-1 block, and ASCII marks after them. The
 # vocabulary never joins the two, and NFC changes neither.
@@ -85,8 +86,9 @@ class LibraryIds(dict):
         parts = []
         for piece in pieces(text):
             parts += map(self.__getitem__, piece.split())
-            if len(self) + len(self.cores) > 2 * CACHED_WORDS:
+            if len(self) > CACHED_WORDS:
                 self.clear()
+            if len(self.cores) > CACHED_WORDS:
                 self.cores.clear()
         return b"".join(parts)
 
