@@ -27,7 +27,7 @@ from tallyworks.llm.common import with_fields
 from tallyworks.session import keep_table
 
 CORE = 64
-# Occurrences of one anchor that one sort may get. Windows of more frequent anchors are counted
+# Different contexts of one anchor that one sort may get. Windows of anchors with more are counted
 # one by one, by their SHA-256, which no frequent anchor can bring into one task.
 SORTED_TOGETHER = 2048
 
@@ -413,9 +413,10 @@ def repeated_spans(rows: DataFrame, length: int) -> DataFrame:
             F.max("context").alias("most"),
         )
         .where("n > 1")
-        .select("anchor", (F.col("least") != F.col("most")).alias("mixed"), "n")
+        .select("anchor", (F.col("least") != F.col("most")).alias("mixed"))
     )
-    candidates = keep_table(anchors.join(often, "anchor"))
+    # Kept, so that the join reads plain shuffles, which it can split at a frequent anchor.
+    candidates = keep_table(anchors.join(keep_table(often), "anchor"))
     whole = (
         F.shiftright("place", 16).alias("low"),
         (F.shiftright("place", 16) + F.shiftright("place", 8).bitwiseAND(F.lit(0xFF)) + length)
@@ -424,18 +425,24 @@ def repeated_spans(rows: DataFrame, length: int) -> DataFrame:
     alike = candidates.where("NOT mixed").select("row", *whole)
     mixed = candidates.where("mixed")
     # Equal contexts repeat each other; one of each is compared with the other contexts.
-    contexts = mixed.groupBy("anchor", "context").agg(
-        F.count("*").alias("copies"),
-        F.min(F.struct("row", "place")).alias("one"),
-        F.first("n").alias("n"),
+    contexts = keep_table(
+        mixed.groupBy("anchor", "context").agg(
+            F.count("*").alias("copies"), F.min(F.struct("row", "place")).alias("one")
+        )
+    )
+    crowded = (
+        contexts.groupBy("anchor")
+        .agg(F.count("*").alias("different"))
+        .where(F.col("different") > SORTED_TOGETHER)
+        .select("anchor", F.lit(True).alias("hot"))
     )
     copied = mixed.join(contexts.where("copies > 1").select("anchor", "context"), ["anchor", "context"])
-    compared = contexts.select(
+    compared = contexts.join(crowded, "anchor", "left").select(
         "anchor",
         "one.row",
         "one.place",
         (F.col("copies") == 1).alias("single"),
-        (F.col("n") > SORTED_TOGETHER).alias("hot"),
+        F.coalesce("hot", F.lit(False)).alias("hot"),
     )
     contents = _contents(rows, compared, length)
     return (
