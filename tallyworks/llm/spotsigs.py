@@ -28,6 +28,7 @@ CHAIN = 3
 REACH = 6
 # Documents that one bucket of neighbouring ids holds.
 BUCKET_ROWS = 4096
+BROADCAST_BUCKETS = 1_000_000
 
 _MARK = "\ue000"
 
@@ -111,6 +112,9 @@ def by_neighbours(docs: DataFrame, id_col: str) -> tuple[DataFrame, WindowSpec]:
         F.col("place._row").alias("_row"),
         F.coalesce(F.lag("_bucket").over(by_bucket), last).alias("_before"),
     )
+    # Two numbers a bucket: small enough to send to every task, or else joined by a shuffle.
+    if buckets <= BROADCAST_BUCKETS:
+        heads = F.broadcast(heads)
     copies = (
         rows.drop("_bucket")
         .join(heads, "_row")
