@@ -33,7 +33,6 @@ HEADLINE = (
     "grouped_orders",
     "business_summary",
     "word_explode",
-    "iterated_affine",
     "log_quality",
     "log_timestamps",
     "status_distribution",

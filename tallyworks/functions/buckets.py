@@ -14,18 +14,36 @@ def key_prefix(key: Column) -> Column:
 
 def range_bucket(key: Column, upper_bounds: Sequence[int]) -> Column:
     """0 for keys up to the first bound, 1 up to the second, ...; the rest go last."""
-    bucket = F.lit(len(upper_bounds))
-    for number, bound in reversed(list(enumerate(upper_bounds))):
-        bucket = F.when(key <= bound, number).otherwise(bucket)
-    return bucket
+    bounds = F.lit(list(upper_bounds)) if upper_bounds else F.array().cast("array<bigint>")
+    size = len(upper_bounds)
+    # A binary search: how many bounds are below the key.
+    found = F.aggregate(
+        F.sequence(F.lit(1), F.lit(max(1, size.bit_length()))),
+        F.struct(F.lit(0).alias("low"), F.lit(size).alias("high")),
+        lambda range_, _: _halved(range_, bounds, key),
+        lambda range_: range_["low"],
+    )
+    return F.when(key.isNull(), size).otherwise(found)
+
+
+def _halved(range_: Column, bounds: Column, key: Column) -> Column:
+    low, high = range_["low"], range_["high"]
+    middle = F.floor((low + high) / 2).cast("int")
+    above = F.get(bounds, middle) < key
+    return F.when(low >= high, range_).otherwise(
+        F.struct(
+            F.when(above, middle + 1).otherwise(low).alias("low"),
+            F.when(above, high).otherwise(middle).alias("high"),
+        )
+    )
 
 
 def named_bucket(name: Column, numbers: Mapping[str, int], default: int) -> Column:
     """Bucket looked up by name; unknown and NULL names get ``default``."""
-    bucket = F.lit(default)
-    for text, number in numbers.items():
-        bucket = F.when(name == text, number).otherwise(bucket)
-    return bucket
+    if not numbers:
+        return F.lit(default)
+    table = F.create_map(*(F.lit(part) for pair in numbers.items() for part in pair))
+    return F.coalesce(F.try_element_at(table, name), F.lit(default))
 
 
 def modulo_bucket(key: Column, buckets: int) -> Column:
@@ -33,8 +51,8 @@ def modulo_bucket(key: Column, buckets: int) -> Column:
 
 
 def suffix_number(key: Column) -> Column:
-    """Number after the last underscore of a text key."""
-    return F.try_element_at(F.split(key, "_"), F.lit(-1)).cast("bigint")
+    """Number after the last underscore of a text key; NULL if there is none."""
+    return F.try_element_at(F.split(key, "_"), F.lit(-1)).try_cast("bigint")
 
 
 def md5_bucket(key: Column, buckets: int) -> Column:

@@ -10,16 +10,11 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyworks.functions.classify import order_size
-from tallyworks.functions.money import cents, money_avg, money_sum, sum_of_cents
-from tallyworks.operators.joins import (
-    broadcast_if_small,
-    orders_customers,
-    orders_full,
-)
-from tallyworks.session import cut_lineage
-
+from tallyworks.functions.money import money_avg, money_sum
+from tallyworks.operators.joins import orders_customers, orders_full
 
 # --- Whole-table statistics ---------------------------------------------------
 
@@ -168,26 +163,25 @@ def grouped_values(
     position: str,
     value: str,
     *,
-    max_values: int = 100_000,
     span: int = 100_000,
 ) -> DataFrame:
-    """The values of each key as a list, ordered by ``position``.
-
-    ``position`` is a whole number that no two rows of a key share. A key with more
-    than ``max_values`` rows gets one list per ``span`` positions, numbered by
-    ``piece``; so no list ever holds more than ``max(max_values, span)`` values.
+    """The values of each key as lists, ordered by ``position``.
 
-    The large keys are found at once, as they decide how the rest is planned: being
-    few, they are broadcast, and the values are shuffled only for their group.
+    ``position`` is a whole number. A list covers ``span`` consecutive positions, numbered by
+    ``piece``, whatever the size of the key. Rows of a key that share a position go into further
+    ``layer``s, one of them in each; rows without a position share a layer by ``span``. So no list
+    ever holds more than ``span`` values.
     """
-    large = cut_lineage(count_by(df, key).where(F.col("n") > max_values))
-    piece = F.when(F.col("n").isNull(), 0).otherwise(F.floor(F.col(position) / span))
+    alike = Window.partitionBy(key, position).orderBy(value)
+    number = F.row_number().over(alike) - 1
+    layer = F.when(F.col(position).isNull(), F.floor(number / span)).otherwise(number)
+    piece = F.floor(F.col(position) / span)
     return (
         df.select(key, position, value)
-        .join(broadcast_if_small(large), key, "left")
-        .groupBy(key, piece.cast("bigint").alias("piece"))
+        .withColumn("layer", layer.cast("bigint"))
+        .groupBy(key, piece.cast("bigint").alias("piece"), "layer")
         .agg(F.array_sort(F.collect_list(F.struct(position, value))).alias("pairs"))
-        .select(key, "piece", F.col(f"pairs.{value}").alias("grouped"))
+        .select(key, "piece", "layer", F.col(f"pairs.{value}").alias("grouped"))
     )
 
 
@@ -236,7 +230,7 @@ def revenue_enrich(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Add category and revenue (catalogue price times quantity) to every line."""
     catalogue = products.select("productCode", "productCategory", "buyPrice")
     return (
-        sales.join(broadcast_if_small(catalogue), "productCode")
+        sales.join(catalogue, "productCode")
         .withColumn("revenue", F.col("buyPrice") * F.col("quantity"))
         .drop("buyPrice")
     )
@@ -249,14 +243,14 @@ def category_revenue(enriched: DataFrame) -> DataFrame:
 def category_revenue_shuffle(sales: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue by category with both sides shuffled, for any size of catalogue.
 
-    Quantities are added up by product first, on the map side too: a hot product
-    reaches the join as one row.
+    Quantities, which may have fractions, are added up by product first, on the map side
+    too: a hot product reaches the join as one row.
     """
-    quantities = sales.groupBy("productCode").agg(F.sum("quantity").alias("quantity"))
+    quantities = sales.groupBy("productCode").agg(money_sum("quantity").alias("quantity"))
     catalogue = products.select("productCode", "productCategory", "buyPrice")
     priced = quantities.hint("merge").join(catalogue, "productCode")
-    revenue = cents("buyPrice") * F.col("quantity").cast("bigint")
-    return priced.groupBy("productCategory").agg(sum_of_cents(revenue).alias("revenue"))
+    revenue = F.col("buyPrice") * F.col("quantity")
+    return priced.groupBy("productCategory").agg(money_sum(revenue).alias("revenue"))
 
 
 def customer_ltv(enriched: DataFrame) -> DataFrame:

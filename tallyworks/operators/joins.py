@@ -11,17 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The most rows of a narrow dimension that are sent to every executor.
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it has no more than ``max_rows`` rows.
-
-    Beyond that it goes unmarked and Spark shuffles both sides, splitting hot keys.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
+_RIGHT = "_right_side"
 
 def without_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right``."""
@@ -33,18 +23,30 @@ def inner(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def left_outer(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Every row of ``left``, with its matches or with NULLs."""
-    matched = left.join(right, key)
-    return matched.unionByName(
-        without_match(left, right, key), allowMissingColumns=True
-    )
+    """Every row of ``left``, with its matches or with NULLs.
+
+    The columns of both sides may share names, as in a plain left join.
+    """
+    others = [name for name in right.columns if name != key]
+    packed = right.select(key, F.struct(*others).alias(_RIGHT)) if others else right.select(key)
+    matched = left.join(packed, key)
+    rest = without_match(left, right, key)
+    if not others:
+        return matched.unionByName(rest)
+    missing = F.lit(None).cast(packed.schema[_RIGHT].dataType)
+    both = matched.unionByName(rest.withColumn(_RIGHT, missing))
+    return both.select(*(F.col(name) for name in matched.columns[:-1]), f"{_RIGHT}.*")
 
 
 def right_outer(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Every row of ``right``, with its matches or with NULLs."""
-    rest = [name for name in left.columns if name != key]
-    others = [name for name in right.columns if name != key]
-    return left_outer(right, left, key).select(key, *rest, *others)
+    size = len(right.columns)
+    joined = left_outer(right, left, key)
+    names = joined.columns
+    # By place: names may repeat.
+    plain = joined.toDF(*(f"c{at}" for at in range(len(names))))
+    order = [0, *range(size, len(names)), *range(1, size)]
+    return plain.select(*(F.col(f"c{at}").alias(names[at]) for at in order))
 
 
 def match_classes(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -68,7 +70,7 @@ def match_classes(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def with_description(orders: DataFrame, descriptions: DataFrame) -> DataFrame:
     """Add the meaning of each status; 'Unknown' where there is none."""
     return (
-        orders.join(broadcast_if_small(descriptions), "status", "left")
+        orders.join(descriptions, "status", "left")
         .withColumn("status_desc", F.coalesce("status_desc", F.lit("Unknown")))
     )
 

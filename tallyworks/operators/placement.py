@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -13,8 +12,7 @@ from pyspark.sql import functions as F
 from tallyworks.functions.buckets import row_salt
 from tallyworks.functions.money import money_sum
 
-# The most rows that one task is given.
-ROWS_PER_TASK = 5_000_000
+_TASK = 5_000_000
 
 _TASK = "_placed_in_task"
 
@@ -23,8 +21,7 @@ _TASK = "_placed_in_task"
 class Placed:
     """Rows shuffled so that each partition has tasks of its own.
 
-    Partition ``p`` owns ``tasks[p]`` consecutive Spark partitions: one as a rule,
-    more if it holds more rows than a task should get.
+    Partition ``p`` owns ``tasks[p]`` consecutive Spark partitions.
     """
 
     rows: DataFrame
@@ -36,13 +33,10 @@ class Placed:
         Valid as long as ``rows`` has not been shuffled again.
         """
         spark_id = F.spark_partition_id()
-        ends = list(accumulate(self.tasks))
-        if ends[-1] == len(ends):
+        if sum(self.tasks) == len(self.tasks):
             return spark_id
-        partition = F.lit(len(ends) - 1)
-        for number, end in reversed(list(enumerate(ends[:-1]))):
-            partition = F.when(spark_id < end, number).otherwise(partition)
-        return partition
+        owners = [number for number, tasks in enumerate(self.tasks) for _ in range(tasks)]
+        return F.element_at(F.lit(owners), spark_id + 1)
 
 
 def even_bounds(df: DataFrame, key: str, partitions: int) -> list[int]:
@@ -52,41 +46,36 @@ def even_bounds(df: DataFrame, key: str, partitions: int) -> list[int]:
     return sorted(set(bounds or []))
 
 
-def tasks_for(rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
-    return max(1, math.ceil(rows / rows_per_task))
-
-
 def place(
     df: DataFrame,
     bucket: Column,
     partitions: int,
     *,
     row_id: Sequence[str] = (),
-    rows_per_task: int = ROWS_PER_TASK,
+    tasks: Mapping[int, int] | None = None,
 ) -> Placed:
     """Shuffle each row to the partition that ``bucket`` names; NULL goes to 0.
 
-    The partitions are counted first (``partitions`` numbers), so that a hot one can be
-    spread over several tasks. A row's task must not change when lost work is redone:
-    it follows from the row's place in the scan, which spreads even exact copies. For a
+    ``tasks`` gives partitions known to be large several tasks; all others have one. The rows
+    are not counted for it: one pass places them. A row's task must not change when lost work is
+    redone: it follows from the row's place in the scan, which spreads even exact copies. For a
     frame that has been shuffled, name the columns that tell its rows apart instead.
     """
     target = F.pmod(F.coalesce(bucket, F.lit(0)), F.lit(partitions)).cast("int")
-    counted = df.groupBy(target.alias("p")).agg(F.count("*").alias("n")).collect()
-    rows = {row["p"]: row["n"] for row in counted}
-    tasks = tuple(tasks_for(rows.get(p, 0), rows_per_task) for p in range(partitions))
-    total = sum(tasks)
+    given = tasks or {}
+    counts = tuple(max(1, given.get(number, 1)) for number in range(partitions))
+    total = sum(counts)
     if total == partitions:
-        return Placed(df.repartitionById(partitions, target), tasks)
-    starts = [end - count for end, count in zip(accumulate(tasks), tasks)]
-    first = F.element_at(F.array(*map(F.lit, starts)), target + 1)
-    spread = F.element_at(F.array(*map(F.lit, tasks)), target + 1)
+        return Placed(df.repartitionById(partitions, target), counts)
+    starts = [end - count for end, count in zip(accumulate(counts), counts)]
+    first = F.element_at(F.lit(starts), target + 1)
+    spread = F.element_at(F.lit(list(counts)), target + 1)
     if row_id:
         salt = row_salt(spread, *row_id)
     else:
         salt = F.pmod(F.monotonically_increasing_id(), spread).cast("int")
     salted = df.withColumn(_TASK, first + salt)
-    return Placed(salted.repartitionById(total, F.col(_TASK)).drop(_TASK), tasks)
+    return Placed(salted.repartitionById(total, F.col(_TASK)).drop(_TASK), counts)
 
 
 def partition_rows(placed: Placed) -> DataFrame:

@@ -101,7 +101,10 @@ def customer_tiers(
 
 
 def squared(df: DataFrame, key: str, value: str) -> DataFrame:
-    return df.select(key, value, (F.col(value) * F.col(value)).alias("squared"))
+    number = F.col(value)
+    if df.schema[value].dataType.typeName() in ("byte", "short", "integer"):
+        number = number.cast("bigint")
+    return df.select(key, value, (number * number).alias("squared"))
 
 
 def amount_with_tax(orders: DataFrame, factor: float = 1.1) -> DataFrame:
@@ -130,7 +133,7 @@ def scaled_per_partition(df: DataFrame, column: str, factor: int = 10) -> DataFr
         times = pa.scalar(factor)  # stands for a costly set-up, wanted once per task
         for batch in batches:
             field = batch.schema.field(place)
-            scaled = pc.multiply(batch.column(place), times).cast(field.type)
+            scaled = pc.multiply_checked(batch.column(place), times).cast(field.type)
             yield batch.set_column(place, field, scaled)
 
     return df.mapInArrow(run, df.schema)

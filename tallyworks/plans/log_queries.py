@@ -162,10 +162,10 @@ def _funnel_sql(steps: dict[str, str]) -> str:
             "Checkout": "endpoint = '/checkout'",
         }
     ),
-    uses=_LOGS,
+    uses=_TIMED,
 )
 def _(t: Tables):
-    return weblogs.conversion_funnel(logs(t))
+    return weblogs.conversion_funnel(timed(t))
 
 
 @query(
@@ -176,10 +176,10 @@ def _(t: Tables):
             for name in ("home", "products", "product", "cart", "checkout")
         }
     ),
-    uses=_LOGS,
+    uses=_TIMED,
 )
 def _(t: Tables):
-    return weblogs.conversion_funnel(logs(t), weblogs.FUNNEL_CONTAINS)
+    return weblogs.conversion_funnel(timed(t), weblogs.FUNNEL_CONTAINS)
 
 
 @query(
@@ -229,11 +229,11 @@ def _(t: Tables):
     "high_404_ips",
     """SELECT ip, COUNT(*) FILTER (status = 404) / COUNT(*) AS ratio_404,
               COUNT(*) AS total_requests
-       FROM logs GROUP BY ip HAVING ratio_404 > 0.2""",
-    uses=_LOGS,
+       FROM timed GROUP BY ip HAVING ratio_404 > 0.2""",
+    uses=_TIMED,
 )
 def _(t: Tables):
-    return weblogs.high_404(logs(t), above=0.2)
+    return weblogs.high_404(timed(t), above=0.2)
 
 
 @query(
@@ -264,8 +264,8 @@ def _(t: Tables):
 @query(
     "slow_endpoint_status",
     """SELECT endpoint, status, ROUND(AVG(response_time_ms), 4) AS avg_response_time
-       FROM logs GROUP BY endpoint, status HAVING AVG(response_time_ms) > 2000""",
-    uses=_LOGS,
+       FROM timed GROUP BY endpoint, status HAVING AVG(response_time_ms) > 2000""",
+    uses=_TIMED,
 )
 def _(t: Tables):
-    return weblogs.slow_endpoint_status(logs(t))
+    return weblogs.slow_endpoint_status(timed(t))

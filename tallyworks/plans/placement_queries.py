@@ -92,20 +92,18 @@ def _(t: Tables):
     return placement.partition_top_key(placed, "key")
 
 
-# Up to eight partitions and down to two, for every five million orders.
+# Up to eight partitions and down to two.
 @query(
     "repartition_coalesce",
-    f"""SELECT step, CAST(factor * ceil(n / {placement.ROWS_PER_TASK}) AS BIGINT)
-                 AS partitions, n, total FROM
+    f"""SELECT step, CAST(partitions AS BIGINT) AS partitions, n, total FROM
           (SELECT COUNT(*) AS n, {money('"totalAmount"')} AS total FROM ordered),
-          (VALUES ('up', 8), ('down', 2)) AS s(step, factor)""",
+          (VALUES ('up', 8), ('down', 2)) AS s(step, partitions)""",
     uses="ordered",
 )
 def _(t: Tables):
     orders = _amounts(t)
-    factor = placement.tasks_for(orders.count())
-    more = orders.repartition(8 * factor, "orderNumber")
-    fewer = more.coalesce(2 * factor)
+    more = orders.repartition(8, "orderNumber")
+    fewer = more.coalesce(2)
     return placement.partition_count(more, "up", "totalAmount").unionByName(
         placement.partition_count(fewer, "down", "totalAmount")
     )

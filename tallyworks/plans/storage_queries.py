@@ -13,7 +13,7 @@ from tallyworks.plans.log_queries import timed
 from tallyworks.plans.registry import query
 from tallyworks.plans.retail_queries import average, money
 from tallyworks.plans.tables import Tables
-from tallyworks.session import work_path
+from tallyworks.session import cut_lineage, work_path
 from tallyworks.sources import columnar, delimited, lines
 
 
@@ -77,9 +77,12 @@ def _(t: Tables):
     path = work_path(t.spark, "usa-csv")
     customers = t.customers()
     delimited.write_report(in_country(customers, "USA"), path)
-    header = lines.read_lines(t.spark, path).agg(F.first("value").alias("header"))
+    # The reader takes the names from the header of a file.
+    header = ",".join(t.spark.read.option("header", True).csv(path).columns)
     rows = delimited.read_csv(t.spark, path, customers.schema)
-    return header.select("header", rows.agg(F.count("*")).scalar().alias("data_rows"))
+    return rows.agg(F.count("*").alias("data_rows")).select(
+        F.lit(header).alias("header"), "data_rows"
+    )
 
 
 @query(
@@ -114,8 +117,9 @@ def _(t: Tables):
     lines.write_lines(t.log_lines(), path)
     with lines.minimum_splits(t.spark, 16):
         text = lines.read_lines(t.spark, path)
-        splits = text.rdd.getNumPartitions()
-    return text.agg(F.count("*").alias("n"), F.lit(splits >= 16).alias("split"))
+        by_split = text.groupBy(F.spark_partition_id().alias("split")).agg(F.count("*").alias("n"))
+        counted = cut_lineage(by_split)
+    return counted.agg(F.sum("n").alias("n"), (F.count("*") >= 16).alias("split"))
 
 
 @query(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 import uuid
 
@@ -25,6 +27,8 @@ _RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A side is broadcast by its bytes, as measured while the query runs.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * MB),
     # Split a hot join key even where a later groupBy has to shuffle again for it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
@@ -85,6 +89,7 @@ def shared_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     root = tempfile.mkdtemp(prefix="tallyworks-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", root)
     return root
 

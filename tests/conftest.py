@@ -25,11 +25,16 @@ def spark():
 @pytest.fixture
 def without_broadcast(spark):
     """No automatic broadcast, as with tables that are too large for it."""
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "-1")
+    keys = (
+        "spark.sql.autoBroadcastJoinThreshold",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold",
+    )
+    before = {key: spark.conf.get(key) for key in keys}
+    for key in keys:
+        spark.conf.set(key, "-1")
     yield spark
-    spark.conf.set(key, before)
+    for key, value in before.items():
+        spark.conf.set(key, value)
 
 
 def rows(df):

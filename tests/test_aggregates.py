@@ -85,11 +85,11 @@ def test_rfm_takes_the_latest_order_even_on_the_reference_date(spark):
     assert rows(agg.rfm(orders)) == [(1, 0, 2, 10.0), (2, -10, 1, 1.0)]
 
 
-def test_grouped_values_are_cut_only_for_large_keys(spark):
+def test_grouped_values_are_cut_by_position(spark):
     data = [(7, i, float(i)) for i in range(100)] + [(8, 5, 0.5), (8, 3, 0.3)]
     random.Random(1).shuffle(data)
     df = spark.createDataFrame(data, "k int, pos bigint, v double")
-    got = agg.grouped_values(df, "k", "pos", "v", max_values=10, span=30).collect()
+    got = agg.grouped_values(df, "k", "pos", "v", span=30).collect()
     small = [r for r in got if r["k"] == 8]
     assert [(r["piece"], r["grouped"]) for r in small] == [(0, [0.3, 0.5])]
     large = sorted((r for r in got if r["k"] == 7), key=lambda r: r["piece"])
@@ -97,6 +97,27 @@ def test_grouped_values_are_cut_only_for_large_keys(spark):
     assert [v for r in large for v in r["grouped"]] == [float(i) for i in range(100)]
 
 
+def test_no_list_outgrows_its_span(spark):
+    data = [(None, i % 4, 1.0) for i in range(40)] + [(1, None, 2.0)] * 40 + [(1, 9, 3.0)]
+    df = spark.createDataFrame(data, "k int, pos bigint, v double")
+    got = agg.grouped_values(df, "k", "pos", "v", span=5).collect()
+    assert sum(len(r["grouped"]) for r in got) == 81
+    assert max(len(r["grouped"]) for r in got) <= 5
+
+
+def test_fractional_quantities_count(spark):
+    sales = spark.createDataFrame(
+        [("a", 0.5), ("a", 0.25), ("b", 3.0)], "productCode string, quantity double"
+    )
+    products = spark.createDataFrame(
+        [("a", "x", 10.0), ("b", "x", 1.99)],
+        "productCode string, productCategory string, buyPrice double",
+    )
+    shuffled = agg.category_revenue_shuffle(sales, products)
+    plain = agg.category_revenue(agg.revenue_enrich(sales, products))
+    assert rows(shuffled) == rows(plain) == [("x", 13.47)]
+
+
 def test_distinct_values_come_from_one_scan(orders):
     found = agg.distinct_values(orders, "status", "customerNumber")
     assert len(rows(found)) == 3 + 4
@@ -131,7 +152,8 @@ def test_sales(sales, products):
     shuffled = agg.category_revenue_shuffle(sales, products)
     assert rows(shuffled) == expected
     assert "SortMergeJoin" in plan(shuffled)
-    assert "BroadcastHashJoin" in plan(agg.category_revenue(enriched))
+    measured = agg.category_revenue(enriched)
+    assert rows(measured) == expected and "BroadcastHashJoin" in plan(measured)
 
 
 def test_products(products):

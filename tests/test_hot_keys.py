@@ -66,13 +66,9 @@ def duck(hot_dir):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_hot_keys_change_no_result(without_broadcast, hot_dir, duck, name, monkeypatch):
-    for module in ("aggregates", "joins"):
-        monkeypatch.setattr(
-            f"tallyworks.operators.{module}.broadcast_if_small", lambda df: df
-        )
-    # So few rows per task that every placed partition is spread over several.
-    small = {"row_id": (), "rows_per_task": 1000}
-    monkeypatch.setattr(placement.place, "__kwdefaults__", small)
+    # Every placed partition is spread over several tasks.
+    spread = {"row_id": (), "tasks": dict.fromkeys(range(16), 3)}
+    monkeypatch.setattr(placement.place, "__kwdefaults__", spread)
     query = QUERIES[name]
     mine = query.run(without_broadcast, hot_dir).toArrow()
     assert differences(mine, duck.sql(query.sql).to_arrow_table()) == []

@@ -98,13 +98,13 @@ def test_unknown_statuses_get_the_default(spark):
     assert "BroadcastHashJoin" in plan(described)
 
 
-def test_broadcast_only_below_the_bound(without_broadcast):
-    spark = without_broadcast
-    small, large = spark.range(10), spark.range(100)
-    joined = large.join(joins.broadcast_if_small(small, 10), "id")
-    assert "BroadcastHashJoin" in plan(joined)
-    joined = large.join(joins.broadcast_if_small(small, 9), "id")
-    assert "SortMergeJoin" in plan(joined)
+def test_outer_joins_take_shared_column_names(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, name string")
+    right = spark.createDataFrame([(2, "c"), (3, "d")], "k int, name string")
+    assert rows(joins.left_outer(left, right, "k")) == [(1, "a", None), (2, "b", "c")]
+    assert rows(joins.right_outer(left, right, "k")) == [(2, "b", "c"), (3, None, "d")]
+    keys = right.select("k")
+    assert rows(joins.left_outer(left, keys, "k")) == [(1, "a"), (2, "b")]
 
 
 def test_full_orders_with_and_without_lines(spark):

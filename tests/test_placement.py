@@ -49,7 +49,7 @@ def test_a_hot_partition_gets_more_tasks(spark):
     df = spark.range(1000).select(
         "id", F.when(F.col("id") < 900, 1).otherwise(F.col("id") % 3).cast("int").alias("b")
     )
-    placed = placement.place(df, F.col("b"), 3, row_id=["id"], rows_per_task=100)
+    placed = placement.place(df, F.col("b"), 3, row_id=["id"], tasks={1: 10})
     expected = {r["b"]: r["n"] for r in df.groupBy("b").agg(F.count("*").alias("n")).collect()}
     assert placed.tasks == (1, 10, 1)
     assert dict(rows(placement.partition_rows(placed))) == expected
@@ -62,7 +62,7 @@ def test_exact_copies_are_spread_by_their_place_in_the_scan(spark):
     path = work_path(spark, "copies")
     spark.range(1000, numPartitions=4).select(F.lit(5).alias("k")).write.parquet(path)
     copies = spark.read.parquet(path)
-    placed = placement.place(copies, F.lit(1), 2, rows_per_task=100)
+    placed = placement.place(copies, F.lit(1), 2, tasks={1: 10})
     assert placed.tasks == (1, 10)
     assert placed.rows.columns == ["k"]
     assert rows(placement.partition_rows(placed)) == [(1, 1000)]
@@ -74,7 +74,7 @@ def test_totals_survive_splitting(spark):
     df = spark.range(1000).select("id", (F.col("id") % 7).alias("k"), F.lit(0.1).alias("v"))
     bucket = modulo_bucket(F.col("k"), 2)
     plain = placement.place(df, bucket, 2, row_id=["id"])
-    split = placement.place(df, bucket, 2, row_id=["id"], rows_per_task=50)
+    split = placement.place(df, bucket, 2, row_id=["id"], tasks={0: 12, 1: 9})
     assert sum(split.tasks) > 2
     one = placement.partition_totals(plain, F.col("k"), "v")
     other = placement.partition_totals(split, F.col("k"), "v")
@@ -109,7 +109,7 @@ def test_sums_by_key_do_not_depend_on_placement(orders):
         (modulo_bucket(customer, 4), 4),
         (md5_bucket(customer, 5), 5),
     ]:
-        placed = placement.place(orders, bucket, n, row_id=["orderNumber"], rows_per_task=2)
+        placed = placement.place(orders, bucket, n, row_id=["orderNumber"], tasks={0: 3, 1: 2})
         assert rows(total_per_customer(placed.rows)) == expected
 
 
@@ -132,6 +132,17 @@ def test_even_bounds_follow_the_data(spark):
     assert placement.even_bounds(one_key.limit(0), "k", 4) == []
 
 
+def test_many_partitions_and_bounds(spark):
+    df = spark.range(2000)
+    bounds = list(range(0, 20_000, 2))
+    got = df.select("id", range_bucket(F.col("id"), bounds).alias("b")).collect()
+    assert all(r["b"] == (r["id"] + 1) // 2 for r in got)
+    placed = placement.place(df, modulo_bucket(F.col("id"), 10_000), 10_000, tasks={7: 3})
+    ids = placed.rows.select("id", placed.partition_id().alias("p")).where("id < 20")
+    assert all(r["p"] == r["id"] for r in ids.collect())
+    assert df.select(range_bucket(F.lit(None).cast("long"), [1, 2])).first()[0] == 2
+
+
 def test_placement_is_one_shuffle(orders):
     placed = placement.place(orders, modulo_bucket(F.col("orderNumber"), 4), 4)
     assert plan(placed.rows).count("Exchange") == 1

@@ -48,10 +48,7 @@ JOINING = [
 
 
 @pytest.mark.parametrize("name", JOINING)
-def test_result_is_the_same_without_broadcast(without_broadcast, duck, name, monkeypatch):
-    monkeypatch.setattr(
-        "tallyworks.operators.aggregates.broadcast_if_small", lambda df: df
-    )
+def test_result_is_the_same_without_broadcast(without_broadcast, duck, name):
     query = QUERIES[name]
     mine = query.run(without_broadcast, DATA_DIR)
     other = duck.sql(query.sql).to_arrow_table()
