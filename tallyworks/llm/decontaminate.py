@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.once import once
-from tallyworks.session import cut_lineage
+from tallyworks.session import cut_lineage, keep_table
 
 WINDOW = 8
 # A window with more placeholders than this says too little.
@@ -133,7 +133,8 @@ def contaminated(
     for size in sorted(row.n for row in short.collect()):
         hits = hits.unionByName(_hits(worded, items.where(F.size("words") == size), size))
     sized = items.select("item", "item_id", F.col("words").alias("item_words"))
-    hits = hits.join(sized, "item").withColumn(
+    # Kept, as it is read twice and reads all texts.
+    hits = keep_table(hits).join(sized, "item").withColumn(
         "all", F.size("item_words") - F.col("size") + 1
     )
     # What can still be flagged: too few windows on all shifts together are dropped here.
