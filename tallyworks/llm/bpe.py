@@ -24,7 +24,10 @@ from tallyworks.llm.common import per_worker, pieces, utf8_texts, with_fields
 
 LONG_WORD = 512
 # Words kept with their ids by each Python worker; beyond it the cache starts anew.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
+
+# Rows whose ids are held at once.
+_ENCODED_ROWS = 100
 
 _NO_RANK = 1 << 62
 _SHIFT = 20
@@ -152,15 +155,20 @@ class WordIds(dict):
         super().__init__()
         self.vocabulary = vocabulary
         self.cores: dict[bytes, list[int]] = {}
+        # One object per id, shared by all words.
+        self.shared = list(range(len(vocabulary.names)))
+
+    def encoded(self, text: str) -> list[int]:
+        return [self.shared[number] for number in self.vocabulary.encode(text)]
 
     def __missing__(self, word: bytes) -> list[int]:
         if word.isalpha():  # of bytes: A-Z and a-z only
             core = word.lower()
             ids = self.cores.get(core)
             if ids is None:
-                ids = self.cores[core] = self.vocabulary.encode(core.decode())
+                ids = self.cores[core] = self.encoded(core.decode())
         else:
-            ids = self.vocabulary.encode(word.decode())
+            ids = self.encoded(word.decode())
         if len(word) <= LONG_WORD:
             self[word] = ids
         return ids
@@ -187,25 +195,35 @@ def _encoder(shared) -> WordIds:
 
 
 def encode(
-    docs: DataFrame, vocabulary_path: str, *, text_col: str = "text", out: str = "ids"
+    docs: DataFrame,
+    vocabulary_path: str,
+    *,
+    text_col: str = "text",
+    out: str = "ids",
+    decoded: str | None = None,
 ) -> DataFrame:
     """``docs`` with a column of ids (array of int) at the end; NULL and "" give none.
 
-    A column of the name ``out`` is replaced; all other columns stay as they are.
+    With ``decoded``, a column of that name with the text decoded from the ids comes behind it.
+    Columns of these names are replaced; all others stay as they are.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
-    rows = docs.drop(out)
+    rows = docs.drop(out, decoded) if decoded else docs.drop(out)
     schema = with_fields(rows.schema, f"`{out}` array<int>")
+    if decoded:
+        schema = with_fields(schema, f"`{decoded}` string")
     place = rows.columns.index(text_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _encoder(shared)
         for batch in batches:
-            ids = [words.of(text) for text in utf8_texts(batch.column(place))]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(ids, pa.list_(pa.int32()))],
-                [*batch.schema.names, out],
-            )
+            for at in range(0, batch.num_rows, _ENCODED_ROWS):
+                part = batch.slice(at, _ENCODED_ROWS)
+                ids = [words.of(text) for text in utf8_texts(part.column(place))]
+                columns = [*part.columns, pa.array(ids, pa.list_(pa.int32()))]
+                if decoded:
+                    columns.append(pa.array([words.vocabulary.decode(each) for each in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return rows.mapInArrow(work, schema)
 

@@ -38,12 +38,17 @@ def documents(spark: SparkSession, data_dir: str, *columns: str) -> DataFrame:
 
 
 def per_worker(key: Any, make: Callable[[], Any]) -> Any:
-    """An object that this Python worker keeps for its later tasks: a cache, a tokenizer."""
+    """An object that this Python worker keeps for its later tasks: a cache, a tokenizer.
+
+    A worker keeps one object; when it is asked for another, the one before goes.
+    """
     kept = sys.modules.setdefault("_tallyworks_kept", types.ModuleType("_tallyworks_kept"))
     store = kept.__dict__
-    if key not in store:
-        store[key] = make()
-    return store[key]
+    if store.get("key") != key:
+        store.pop("value", None)
+        store["value"] = make()
+        store["key"] = key
+    return store["value"]
 
 
 def utf8_texts(column: pa.Array) -> list[bytes]:

@@ -37,15 +37,15 @@ class Letters:
 
     def __init__(self, dimensions: int, seed: int) -> None:
         self.dimensions, self.seed = dimensions, seed
-        points = [chr(p) if not 0xD800 <= p < 0xE000 else " " for p in range(0x110000)]
-        lowered = [c.lower() for c in points]
         # 0 stands for everything that is no letter.
-        self.fold = np.array(
-            [ord(low[0]) if low[0].isalpha() else 0 for low in lowered], np.uint32
-        )
+        self.fold = np.zeros(0x110000, np.uint32)
+        for point in range(0x110000):
+            lowered = chr(point).lower()[0]
+            if lowered.isalpha():
+                self.fold[point] = ord(lowered)
         self.letter_vectors: dict[int, np.ndarray] = {}
         self.rows: dict[int, int] = {}
-        self.table = np.empty((_KEPT, dimensions), np.float32)
+        self.table = np.empty((_KEPT, dimensions), np.int8)
 
     def trigrams(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Different trigrams of a text and how often each comes.
@@ -107,7 +107,8 @@ class Letters:
         total = np.zeros(self.dimensions)
         for start in range(0, len(codes), _KEPT):
             part = slice(start, start + _KEPT)
-            total += counts[part].astype(np.float32) @ self.table[self.places(codes[part])]
+            vectors = self.table[self.places(codes[part])].astype(np.float32)
+            total += counts[part].astype(np.float32) @ vectors
         return total
 
     def bundles(self, bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -124,7 +125,7 @@ class Letters:
         weights[np.repeat(np.arange(len(bags)), sizes), places] = np.concatenate(
             [counts for _, counts in bags]
         )
-        return weights @ self.table[self.places(joined)]
+        return weights @ self.table[self.places(joined)].astype(np.float32)
 
 
 def _letters(dimensions: int, seed: int) -> Letters:

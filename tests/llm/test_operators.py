@@ -159,6 +159,8 @@ def test_token_files(spark, odd, texts, empty, library):
 
 def test_bpe(odd, texts, empty, library):
     encoded = bpe.decode(bpe.encode(odd, WORD_BPE), WORD_BPE)
+    both = bpe.encode(odd, WORD_BPE, decoded="decoded")
+    assert sorted(map(str, both.collect())) == sorted(map(str, encoded.collect()))
     assert encoded.columns[: len(odd.columns)] == odd.columns
     expected = []
     for _, text in texts:
