@@ -43,8 +43,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the texts, and the texts as the ids decode."""
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), WORD_BPE)
-    return bpe.decode(encoded.drop("text"), WORD_BPE).select(
+    rows = docs.select("doc_id", "lang", "source", "text")
+    return bpe.encode(rows, WORD_BPE, decoded="decoded").select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded"
     )
 
