@@ -28,12 +28,16 @@ from tallyworks.session import keep_table
 
 CORE = 64
 # Different contexts of one anchor that one sort may get. Windows of anchors with more are counted
-# one by one, by their SHA-256, which no frequent anchor can bring into one task.
+# by their SHA-256, which no frequent anchor can bring into one task: first so many at a time,
+# then one by one where those do not repeat as a whole.
 SORTED_TOGETHER = 2048
+COUNTED_TOGETHER = 16
 
 # Bytes hashed at once, and bytes of contexts sorted at once.
 _STEP = 1 << 20
 _BLOCK = 1 << 20
+# Runs of windows cut before their pieces are passed on.
+_RUNS_AT_ONCE = 64
 _PLACE_BITS = 24
 
 
@@ -335,33 +339,84 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
     return grouped.mapInArrow(work, "row long, low long, high long")
 
 
-def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """As ``_sorted_spans``, for anchors of any frequency: each window counts by its digest."""
+def _pieces(runs: DataFrame, length: int, together: int) -> DataFrame:
+    """Runs of windows cut into pieces of at most ``together``, each with its bytes' SHA-256.
+
+    ``runs`` and the result: ``row``, ``low`` (first window), ``windows``, ``core`` (from there to
+    the anchor), ``single``, ``content``; single windows come without their bytes. Cuts are at
+    multiples of ``together`` from the anchor, so that equal runs of different contexts line up.
+    """
+    names = ["row", "low", "windows", "core", "single", "content", "digest"]
+    schema = (
+        "row long, low long, windows long, core long, single boolean, content binary, digest binary"
+    )
+    types = [pa.int64()] * 4 + [pa.bool_(), pa.binary(), pa.binary()]
+
+    def cut(row, low, windows, core, single, content):
+        at = 0
+        while at < windows:
+            width = min((core - at) % together + 1, windows - at)
+            piece = content[at : at + width - 1 + length]
+            digest = hashlib.sha256(piece).digest()
+            yield row, low + at, width, core - at, single, piece if together > 1 else None, digest
+            at += width
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, place, single, content = (column.to_pylist() for column in batch.columns)
-            for each, packed, alone, text in zip(row, place, single, content):
-                first, count = packed >> 16, (packed >> 8 & 0xFF) + 1
-                digests = [
-                    hashlib.sha256(text[at : at + length]).digest() for at in range(count)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([each] * count, pa.int64()),
-                        pa.array(range(first, first + count), pa.int64()),
-                        pa.array([alone] * count, pa.bool_()),
-                        pa.array(digests, pa.binary()),
-                    ],
-                    ["row", "low", "single", "digest"],
-                )
+            for at in range(0, batch.num_rows, _RUNS_AT_ONCE):
+                part = batch.slice(at, _RUNS_AT_ONCE)
+                rows = zip(*(column.to_pylist() for column in part.columns))
+                made = zip(*(piece for run in rows for piece in cut(*run)))
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, made, types)), names)
+
+    return runs.select(*names[:-1]).mapInArrow(work, schema)
 
-    windows = contexts.select("row", "place", "single", "content").mapInArrow(
-        work, "row long, low long, single boolean, digest binary"
+
+def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
+    """As ``_sorted_spans``, for anchors of any frequency: pieces count by their digests.
+
+    A piece of several windows that repeats as a whole is one row; only one of each different
+    piece is cut into its windows, which are then counted in the same way.
+    """
+    place = F.col("place")
+    runs = contexts.select(
+        "row",
+        F.shiftright(place, 16).alias("low"),
+        (F.shiftright(place, 8).bitwiseAND(F.lit(0xFF)) + 1).alias("windows"),
+        place.bitwiseAND(F.lit(0xFF)).alias("core"),
+        "single",
+        "content",
+    )
+    pieces = _pieces(runs, length, COUNTED_TOGETHER)
+    # Kept, as the counts below, so that the joins read plain shuffles and can split them.
+    different = keep_table(
+        pieces.groupBy("digest").agg(
+            F.count("*").alias("n"),
+            F.min(F.struct("row", "low", "windows", "core", "single")).alias("one"),
+            F.min("content").alias("content"),
+        )
+    )
+    windows = _pieces(
+        different.select(
+            "one.row",
+            "one.low",
+            "one.windows",
+            "one.core",
+            F.expr("n = 1 AND one.single").alias("single"),
+            "content",
+        ),
+        length,
+        1,
     )
-    often = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
-    hits = windows.where("single").join(often.select("digest"), "digest")
-    return hits.select("row", "low", (F.col("low") + length).alias("high"))
+    often = keep_table(windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1"))
+
+    def hits(found: DataFrame, repeated: DataFrame) -> DataFrame:
+        high = F.col("low") + F.col("windows") - 1 + length
+        alone = found.where("single").select("row", "low", "windows", "digest")
+        joined = alone.join(repeated.select("digest"), "digest")
+        return joined.select("row", "low", high.alias("high"))
+
+    return hits(pieces, different.where("n > 1")).unionByName(hits(windows, often))
 
 
 def _contents(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
