@@ -345,12 +345,15 @@ def _pieces(runs: DataFrame, length: int, together: int) -> DataFrame:
     ``runs`` and the result: ``row``, ``low`` (first window), ``windows``, ``core`` (from there to
     the anchor), ``single``, ``content``; single windows come without their bytes. Cuts are at
     multiples of ``together`` from the anchor, so that equal runs of different contexts line up.
+    ``inner`` is the digest of the bytes that all windows between two cuts would share: windows
+    can be equal only in pieces whose ``inner`` is.
     """
-    names = ["row", "low", "windows", "core", "single", "content", "digest"]
+    names = ["row", "low", "windows", "core", "single", "content", "digest", "inner"]
     schema = (
-        "row long, low long, windows long, core long, single boolean, content binary, digest binary"
+        "row long, low long, windows long, core long, single boolean, "
+        "content binary, digest binary, inner binary"
     )
-    types = [pa.int64()] * 4 + [pa.bool_(), pa.binary(), pa.binary()]
+    types = [pa.int64()] * 4 + [pa.bool_()] + [pa.binary()] * 3
 
     def cut(row, low, windows, core, single, content):
         at = 0
@@ -358,7 +361,13 @@ def _pieces(runs: DataFrame, length: int, together: int) -> DataFrame:
             width = min((core - at) % together + 1, windows - at)
             piece = content[at : at + width - 1 + length]
             digest = hashlib.sha256(piece).digest()
-            yield row, low + at, width, core - at, single, piece if together > 1 else None, digest
+            if together == 1:
+                yield row, low + at, 1, core - at, single, None, digest, digest
+            else:
+                nearest = core - (core - at) // together * together
+                shared = content[nearest : nearest - together + 1 + length]
+                inner = hashlib.sha256(shared).digest()
+                yield row, low + at, width, core - at, single, piece, digest, inner
             at += width
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,14 +378,15 @@ def _pieces(runs: DataFrame, length: int, together: int) -> DataFrame:
                 made = zip(*(piece for run in rows for piece in cut(*run)))
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, made, types)), names)
 
-    return runs.select(*names[:-1]).mapInArrow(work, schema)
+    return runs.select(*names[:-2]).mapInArrow(work, schema)
 
 
 def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
     """As ``_sorted_spans``, for anchors of any frequency: pieces count by their digests.
 
-    A piece of several windows that repeats as a whole is one row; only one of each different
-    piece is cut into its windows, which are then counted in the same way.
+    A piece of several windows that repeats as a whole is one row. Of each different piece one is
+    cut into its windows, which are then counted in the same way, unless no other piece has the
+    bytes that all its windows share.
     """
     place = F.col("place")
     runs = contexts.select(
@@ -394,10 +404,12 @@ def _counted_spans(contexts: DataFrame, length: int) -> DataFrame:
             F.count("*").alias("n"),
             F.min(F.struct("row", "low", "windows", "core", "single")).alias("one"),
             F.min("content").alias("content"),
+            F.min("inner").alias("inner"),
         )
     )
+    inners = different.groupBy("inner").agg(F.count("*").alias("pieces")).where("pieces > 1")
     windows = _pieces(
-        different.select(
+        different.join(keep_table(inners.select("inner")), "inner", "left_semi").select(
             "one.row",
             "one.low",
             "one.windows",
