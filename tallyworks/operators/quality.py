@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.operators.filters import sample_rows
+
 
 def _union(parts) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
@@ -69,3 +71,25 @@ def schema_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
         )
 
     return _union(columns(name, df) for name, df in tables.items())
+
+
+def sample_facts(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """What holds for a sample without replacement, whichever rows it drew.
+
+    ``n``: rows of ``df``; ``contained``: no key is in the sample more often than in ``df``;
+    ``fair``: the sample's size is within five standard deviations of what is expected.
+    """
+    given = df.select(key, F.lit(1).alias("given"), F.lit(0).alias("drawn"))
+    drawn = sample_rows(df.select(key), fraction).select(
+        key, F.lit(0).alias("given"), F.lit(1).alias("drawn")
+    )
+    per_key = given.unionByName(drawn).groupBy(key).agg(
+        F.sum("given").alias("given"), F.sum("drawn").alias("drawn")
+    )
+    n = F.coalesce(F.sum("given"), F.lit(0))
+    off = F.abs(F.coalesce(F.sum("drawn"), F.lit(0)) - n * fraction)
+    return per_key.agg(
+        n.alias("n"),
+        F.coalesce(F.bool_and(F.col("drawn") <= F.col("given")), F.lit(True)).alias("contained"),
+        (off <= 5 * F.sqrt(n * fraction * (1 - fraction))).alias("fair"),
+    )

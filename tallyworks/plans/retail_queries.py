@@ -309,12 +309,17 @@ def _(t: Tables):
     return filters.with_status(t.orders(), "Processing", "Shipped")
 
 
-# Sampling has no SQL twin: rows only.
+# Sampling has no SQL twin: rows only. What holds for every sample is checked next.
 @query("sample_orders")
 def _(t: Tables):
     return filters.sample_rows(t.orders())
 
 
+@query("sample_facts", "SELECT COUNT(*) AS n, TRUE AS contained, TRUE AS fair FROM orders")
+def _(t: Tables):
+    return quality.sample_facts(t.orders(), "orderNumber", 0.1)
+
+
 @query(
     "limit_rows",
     'SELECT * FROM accounts ORDER BY "customerNumber" LIMIT 100',

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 from tallyworks import schemas
 from tallyworks.operators import weblogs
@@ -24,7 +25,34 @@ def _(t: Tables):
     return delimited.read_csv(t.spark, path, schemas.ORDERS)
 
 
-@query("csv_multipart_sink", "SELECT * FROM products", uses="products")
+def inferred(t: Tables, table: DataFrame, label: str) -> DataFrame:
+    """A table written as CSV and read with the types that its text shows.
+
+    The reader takes the narrowest whole number that fits; here they are all long.
+    """
+    path = work_path(t.spark, label)
+    delimited.write_csv(table, path)
+    found = delimited.read_csv(t.spark, path)
+    whole = [f.name for f in found.schema if isinstance(f.dataType, IntegralType)]
+    return found.withColumns({name: found[name].cast("long") for name in whole})
+
+
+@query("csv_inferred_customers", "SELECT * FROM customers", uses="customers")
+def _(t: Tables):
+    return inferred(t, t.customers(), "customers-csv")
+
+
+@query(
+    "csv_inferred_products",
+    """SELECT * REPLACE (CAST("quantityInStock" AS BIGINT) AS "quantityInStock")
+       FROM products""",
+    uses="products",
+)
+def _(t: Tables):
+    return inferred(t, t.products(), "products-csv")
+
+
+@query("csv_multipart_sink","SELECT * FROM products", uses="products")
 def _(t: Tables):
     path = work_path(t.spark, "products-csv")
     products = t.products()

@@ -25,3 +25,9 @@ def test_reports(spark):
         ("two", 1, 1, "s", "string"),
         ("two", 1, 2, "d", "double"),
     ]
+
+
+def test_what_holds_for_a_sample(spark):
+    df = spark.range(2000)
+    assert tuple(quality.sample_facts(df, "id", 0.1).first()) == (2000, True, True)
+    assert tuple(quality.sample_facts(df.limit(0), "id", 0.1).first()) == (0, True, True)
