@@ -38,15 +38,14 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Shapes that only propose.
-_SPELLED_EMAIL = re.compile(
-    r"[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}"
-    r"(?: ?(?:\(dot\)|\[dot\]|\.) ?[A-Za-z0-9-]{1,63}){1,4}"
+_SPELLED_SIGN = re.compile(
+    r" ?(?:\(at\)|\[at\])(?= ?([A-Za-z0-9-]++(?: ?(?:\(dot\)|\[dot\]|\.) ?[A-Za-z0-9-]++)++))"
 )
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9-])")
 _SECRET_NAMES = ("password", "passwd", "token", "secret", "api_key", "api-key", "apikey")
 _SECRET = re.compile(
     r"(?:password|passwd|token|secret|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?"
-    r"([A-Za-z0-9+/_-]{8,256})",
+    r"([A-Za-z0-9+/_-]{8,}+)",
     re.IGNORECASE,
 )
 
@@ -72,24 +71,39 @@ def luhn(digits: str) -> bool:
     return (sum(values[::2]) + doubled) % 10 == 0
 
 
+def _local_start(text: str, at: int, done: int) -> int:
+    """Where the whole run of characters of a mail address before ``at`` starts."""
+    back = 64
+    while True:
+        begin = max(done, at - back)
+        before = text[begin:at]
+        local = len(before) - len(before.rstrip(_LOCAL))
+        if local < len(before) or begin == done:
+            return at - local
+        back *= 8
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """A mail address starts with the whole run of allowed characters before its sign."""
     done, at = 0, text.find("@")
     while at >= 0:
-        back = 64
-        while True:
-            begin = max(done, at - back)
-            before = text[begin:at]
-            local = len(before) - len(before.rstrip(_LOCAL))
-            if local < len(before) or begin == done:
-                break
-            back *= 8
-        if local and (found := _DOMAIN.match(text, at)):
-            yield at - local, found.end()
+        start = _local_start(text, at, done)
+        if start < at and (found := _DOMAIN.match(text, at)):
+            yield start, found.end()
             done = found.end()
         at = text.find("@", max(at + 1, done))
 
 
+def _spelled_emails(text: str) -> Iterator[tuple[int, int]]:
+    """The same with its sign, and perhaps its dots, spelled out."""
+    done = 0
+    for sign in _SPELLED_SIGN.finditer(text):
+        start = _local_start(text, sign.start(), done)
+        if start < sign.start():
+            done = sign.end(1)
+            yield start, done
+
+
 def _is_ip(text: str) -> bool:
     parts = (part.lstrip("0") for part in text.split("."))
     return all(len(part) <= 3 and int(part or "0") <= 255 for part in parts)
@@ -171,7 +185,7 @@ def propose(text: str) -> list[Span]:
                     base["phone"].append(found.span())
         loose += [("phone", *found.span()) for found in _LOCAL_PHONE.finditer(text)]
     if "(at)" in text or "[at]" in text:
-        loose += [("email", *found.span()) for found in _SPELLED_EMAIL.finditer(text)]
+        loose += [("email", *found) for found in _spelled_emails(text)]
     lowered = text.lower()
     if any(name in lowered for name in _SECRET_NAMES):
         loose += [("secret", *found.span(1)) for found in _SECRET.finditer(text)]

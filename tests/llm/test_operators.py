@@ -200,6 +200,24 @@ def test_personal_data(odd, texts, empty):
     assert pii.detect(empty).count() == 0
 
 
+def test_long_personal_data_is_taken_to_its_end(spark):
+    secret, local, host = "aB3" * 100, "joe.doe_" * 20, "h0-" * 50 + "st"
+    texts = [
+        (1, f"set token={secret} here"),
+        (2, f"write to {local}x (at) {host}.a.b (dot) c . d . e.com, or call"),
+        (3, "a (at) b.c_d[at]e.f and (at) g.h, i(at)j.k(at)l.m, n (at) o"),
+        (4, "a" * 300_000 + " (at) " * 50_000 + "token=" * 50_000),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    found = {key: [text[s.start : s.end] for s in pii.propose(text)] for key, text in texts}
+    assert found[1] == [secret]
+    assert found[2] == [texts[1][1][9:-9]]
+    assert found[3] == ["a (at) b.c", "_d[at]e.f", "and (at) g.h", "i(at)j.k"]
+    assert found[4] == []
+    masked = {r.doc_id: r.text for r in pii.masked(docs.where("doc_id = 1")).collect()}
+    assert masked[1] == "set token=<secret> here"
+
+
 def test_labelers_that_agree_are_trusted():
     draw = random.Random(4)
     counts = collections.Counter()
