@@ -22,10 +22,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates."""
-    found = simhash.near_duplicates(docs, width=3, max_bits=2)
-    kept = found.where("id = component").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Keep one row of each group of near duplicates: the smallest id, of equal ids the first row.
+
+    Rows are told apart by their place in the scan, so rows that repeat are one group, and rows
+    with one id but different texts are not. A NULL id comes after all others.
+    """
+    numbered = docs.withColumn("row", F.monotonically_increasing_id())
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    keyed = numbered.select(key.alias("key"), "text")
+    found = simhash.near_duplicates(keyed, id_col="key", width=3, max_bits=2)
+    kept = found.where("id.row = component.row").select("id.row")
+    return numbered.join(kept, "row", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from tallyworks.llm import simhash
 from tallyworks.llm.queries import ORACLE_SQL, QUERIES
 from tallyworks.session import keep_table
 from tests.conftest import DATA_DIR, plan
@@ -37,6 +38,60 @@ def test_stages(spark):
     assert corpus_pipeline.run(spark, DATA_DIR).count() == before
 
 
+def plain_groups(prints, max_bits):
+    """Rows by the smallest row that links of few differing bits reach."""
+    group = list(range(len(prints)))
+    for _ in prints:
+        for a, one in enumerate(prints):
+            for b, other in enumerate(prints):
+                if (one ^ other).bit_count() <= max_bits:
+                    group[a] = group[b] = min(group[a], group[b])
+    return group
+
+
+def test_one_row_stays_of_each_group(spark, tmp_path):
+    text = "the quick brown fox jumps over the lazy dog near the river bank"
+    rows = [
+        (7, text), (7, text), (3, text), (None, text),
+        (None, "a text of its own that has no id at all"), (None, "and one more without an id"),
+        (None, "a text of its own that has no id at all"),
+        (9, "one id with a first text"), (9, "the same id and quite another text"),
+        (9, "one id with a first text"), (1, "the same id and quite another text"),
+    ]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, DATA_DIR).collect()
+    groups = plain_groups([simhash.fingerprint(text.encode(), 3) & (1 << 64) - 1 for _, text in rows], 2)
+    best = {}
+    for at, (key, _) in enumerate(rows):
+        rank = (key is None, key or 0, at)
+        best[groups[at]] = min(best.get(groups[at], rank), rank)
+    expected = [rows[at] for _, _, at in best.values()]
+    assert sorted(map(tuple, kept), key=repr) == sorted(expected, key=repr)
+    assert len(kept) == 5
+
+
+def test_run_keeps_the_odd_rows_that_plain_python_keeps(spark, odd, tmp_path):
+    path = str(tmp_path)
+    docs = odd.select("doc_id", "text", "lang", "id").toDF("doc_id", "text", "lang", "source")
+    docs = docs.selectExpr("*", "cast(length(text) AS bigint) AS n_chars")
+    docs.unionByName(docs).coalesce(1).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, "no such question is anywhere in here")], "item_id long, text string").write.parquet(
+        f"{path}/benchmark.parquet"
+    )
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    rows = [tuple(row) for row in corpus_pipeline.identify_language(spark, docs, path).collect()]
+    prints = [simhash.fingerprint((row[1] or "").encode(), 3) & (1 << 64) - 1 for row in rows]
+    best = {}
+    for at, (row, group) in enumerate(zip(rows, plain_groups(prints, 2))):
+        rank = (row[0] is None, row[0] or 0, at)
+        best[group] = min(best.get(group, rank), rank)
+    expected = [rows[at][0] for _, _, at in best.values()]
+    found = [row.doc_id for row in corpus_pipeline.run(spark, path).collect()]
+    assert None in expected and sorted(found, key=repr) == sorted(expected, key=repr)
+
+
 def test_contract():
     names = contract.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
