@@ -1,7 +1,8 @@
 """Benchmark decontamination by templates, in DataFrame functions alone.
 
 Numbers, units and names become typed placeholders, so a benchmark question is found again with
-other figures or other people in it. Windows of template words are joined by their hashes; then
+other figures or other people in it. Windows of template words are joined by their hashes, and
+so are windows of plain lower-cased words, which find copies whatever their case or slots; then
 the slots are compared: a value must be replaced by the same value wherever it stands.
 """
 
@@ -14,7 +15,7 @@ from tallyworks.functions.once import once
 from tallyworks.session import cut_lineage, keep_table
 
 WINDOW = 8
-# A window with more placeholders than this says too little.
+# A template with more placeholders than this says too little; such windows need equal words.
 MOST_SLOTS = 4
 # A document is flagged for an item if this many words in a row are found, or this share of the
 # item's windows.
@@ -62,24 +63,54 @@ def kind(word: Column) -> Column:
     )
 
 
+def bare(word: Column) -> Column:
+    """A word without the mark of a name."""
+    return F.when(word.startswith(_NAME), F.substring(word, 2, 1 << 30)).otherwise(word)
+
+
 def _windows(rows: DataFrame, keep: list[str], size: int) -> DataFrame:
-    """``keep``, ``at`` (from 0) and ``hash`` of every window of ``size`` template words.
+    """``keep``, ``at`` (from 0), ``plain`` and ``hash`` of every window of ``size`` words.
 
-    ``rows`` has the array ``words``.
+    ``rows`` has the array ``words``. A window is hashed as a template, and, if it has slots, also
+    by its plain words, which are the same in any case.
     """
     template = F.transform("words", lambda word: F.coalesce(kind(word), F.xxhash64(word)))
-    hashed = rows.select(*keep, once(template).alias("_template"))
-    starts = F.sequence(F.lit(1), F.size("_template") - (size - 1))
-    hashes = F.transform(starts, lambda at: F.xxhash64(F.slice("_template", at, size)))
-    enough = hashed.where(F.size("_template") >= size)
-    return enough.select(*keep, F.posexplode(hashes).alias("at", "hash"))
+    plain = F.transform("words", lambda word: F.xxhash64(bare(word)))
+    hashed = rows.where(F.size("words") >= size).select(
+        *keep, once(F.struct(template.alias("template"), plain.alias("plain"))).alias("_forms")
+    )
+    last = F.size("_forms.template") - (size - 1)
+
+    def forms(starts: Column, form: str) -> Column:
+        return F.transform(
+            starts,
+            lambda at: F.struct(
+                (at - 1).alias("at"),
+                F.lit(form == "plain").alias("plain"),
+                F.xxhash64(F.slice(F.col(f"_forms.{form}"), at, size)).alias("hash"),
+            ),
+        )
+
+    slots = F.filter(
+        F.sequence(F.lit(1), F.size("_forms.template")),
+        lambda at: F.get("_forms.template", at - 1) != F.get("_forms.plain", at - 1),
+    )
+    around = F.transform(
+        slots,
+        lambda at: F.sequence(
+            F.greatest(F.lit(1), F.least(at - (size - 1), last)), F.least(at, last)
+        ),
+    )
+    slotted = F.array_distinct(F.flatten(around))
+    every = forms(F.sequence(F.lit(1), last), "template")
+    return hashed.select(*keep, F.inline(F.concat(every, forms(slotted, "plain"))))
 
 
 def _hits(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     """Runs of matching windows: ``row``, ``item``, ``shift``, first place, windows."""
     wanted = _windows(items, ["item", "words"], size)
     slots = F.size(F.filter(F.slice("words", F.col("at") + 1, size), lambda w: kind(w).isNotNull()))
-    wanted = wanted.where(slots <= min(MOST_SLOTS, size // 2))
+    wanted = wanted.where(F.col("plain") | (slots <= min(MOST_SLOTS, size // 2)))
     wanted = cut_lineage(wanted.select("hash", "item", F.col("at").alias("place")))
     if wanted.count() <= BROADCAST_WINDOWS:
         wanted = F.broadcast(wanted)
@@ -87,7 +118,11 @@ def _hits(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
         _windows(docs, ["row"], size)
         .join(wanted, "hash")
         .groupBy("row", "item", (F.col("at") - F.col("place")).alias("shift"))
-        .agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count("*").alias("windows"))
+        .agg(
+            F.min("at").alias("first"),
+            F.max("at").alias("last"),
+            F.count_distinct("at").alias("windows"),
+        )
         .withColumn("size", F.lit(size))
     )
 
@@ -156,6 +191,12 @@ def contaminated(
         ),
         lambda pair: kind(pair["theirs"]).isNotNull(),
     )
+    pairs = F.transform(
+        pairs,
+        lambda pair: F.struct(
+            bare(pair["mine"]).alias("mine"), bare(pair["theirs"]).alias("theirs")
+        ),
+    )
     compared = strong.join(texts, "row").withColumn("slots", F.array_distinct(pairs))
     mine = F.array_distinct(F.transform("slots", lambda pair: pair["mine"]))
     theirs = F.array_distinct(F.transform("slots", lambda pair: pair["theirs"]))

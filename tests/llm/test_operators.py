@@ -361,6 +361,35 @@ def test_decontamination(spark, tmp_path, empty):
     assert decontaminate.contaminated(docs, items.where("false")).count() == 0
 
 
+def found_in(spark, tmp_path, texts, items):
+    """What is found: (document, item) -> row."""
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(
+        1
+    ).write.parquet(path)
+    items = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = decontaminate.contaminated(spark.read.parquet(path), items).collect()
+    assert len(got) == len({(r.id, r.item) for r in got})
+    return {(r.id, r.item): r for r in got}
+
+
+def test_copies_are_found_whatever_their_case_and_slots(spark, tmp_path):
+    items = [
+        "What is 12 + 30 * 4 - 6 / 2",
+        "the row reads 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 and then it ends",
+        "when the old Arthur met, on a road to Rome, young Bertha, then both went by Lyon home",
+        "add 2 and 3",
+    ]
+    texts = [*items, items[2].lower(), items[2].upper(), "so: " + items[0].lower(),
+             items[0].replace("12", "13"), items[3].replace("3", "4").upper()]
+    got = found_in(spark, tmp_path, texts, items)
+    assert {key: r.changed for key, r in got.items()} == {
+        (0, 0): False, (1, 1): False, (2, 2): False, (3, 3): False,
+        (4, 2): False, (5, 2): False, (6, 0): False, (8, 3): True,
+    }
+    assert all(got[at].share == 1 for at in got)
+
+
 def test_licences(odd, empty, spark):
     texts = [
         (1, "The MIT License. mit-license! Apache License, general public license"),
