@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyworks.functions.once import once
 from tallyworks.session import cut_lineage, keep_table
@@ -39,6 +40,9 @@ _NAME = "\ue000"
 # The hashes that placeholders have in place of a word's.
 _SLOTS = {"number": 1, "unit": 2, "name": 3}
 
+# A document's words beside an item's, at one distance between their places.
+ALIGNMENT = ("row", "item", "shift")
+
 
 def words(text: Column | str) -> Column:
     """The lower-cased words of a text; names keep a mark in front.
@@ -107,23 +111,40 @@ def _windows(rows: DataFrame, keep: list[str], size: int) -> DataFrame:
 
 
 def _hits(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """Runs of matching windows: ``row``, ``item``, ``shift``, first place, windows."""
+    """Runs of words that match in a row: ``row``, ``item``, ``shift``, ``first``, ``n``, ``size``.
+
+    ``n`` is the number of windows in the run, those between included that were not looked for.
+    """
     wanted = _windows(items, ["item", "words"], size)
     slots = F.size(F.filter(F.slice("words", F.col("at") + 1, size), lambda w: kind(w).isNotNull()))
     wanted = wanted.where(F.col("plain") | (slots <= min(MOST_SLOTS, size // 2)))
     wanted = cut_lineage(wanted.select("hash", "item", F.col("at").alias("place")))
     if wanted.count() <= BROADCAST_WINDOWS:
         wanted = F.broadcast(wanted)
+    found = _windows(docs, ["row"], size).join(wanted, "hash")
+    found = found.select("row", "item", (F.col("at") - F.col("place")).alias("shift"), "at")
+    along = Window.partitionBy(*ALIGNMENT).orderBy("at")
+    # A word between two windows that no window has does not match.
+    apart = F.coalesce(F.col("at") - F.lag("at").over(along) > size, F.lit(False))
+    runs = found.withColumn("run", F.sum(apart.cast("long")).over(along))
+    return runs.groupBy(*ALIGNMENT, "run").agg(
+        F.min("at").alias("first"),
+        (F.max("at") - F.min("at") + 1).alias("n"),
+        F.lit(size).alias("size"),
+    ).drop("run")
+
+
+def _consistent(runs: DataFrame) -> DataFrame:
+    """``runs`` whose slots do not contradict each other, with ``changed`` and ``best``."""
+    pairs = F.array_distinct(
+        F.transform("slots", lambda slot: F.struct(slot["mine"], slot["theirs"]))
+    )
+    mine = F.array_distinct(F.transform("slots", lambda slot: slot["mine"]))
+    theirs = F.array_distinct(F.transform("slots", lambda slot: slot["theirs"]))
+    consistent = (F.size(mine) == F.size(pairs)) & (F.size(theirs) == F.size(pairs))
+    changed = F.exists("slots", lambda slot: slot["changed"])
     return (
-        _windows(docs, ["row"], size)
-        .join(wanted, "hash")
-        .groupBy("row", "item", (F.col("at") - F.col("place")).alias("shift"))
-        .agg(
-            F.min("at").alias("first"),
-            F.max("at").alias("last"),
-            F.count_distinct("at").alias("windows"),
-        )
-        .withColumn("size", F.lit(size))
+        runs.where(consistent).withColumn("changed", changed).withColumn("best", F.lit(True))
     )
 
 
@@ -142,7 +163,7 @@ def contaminated(
     """Per document and benchmark item that it gives away: ``row``, ``id``, ``item``, evidence.
 
     ``windows``: windows found in consistent runs; ``longest``: words of the longest run;
-    ``share``: of the item's windows; ``changed``: whether a slot has another value than the item.
+    ``share``: of the item's windows, each counted once; ``changed``: whether a slot has another value than the item.
     Items shorter than ``window`` words are looked for as a whole, from three words on; shorter
     ones, and texts without words, match nothing. ``row`` numbers the rows of ``docs`` in the
     order of the scan, which must be the same whenever it is computed. Items that repeat are
@@ -172,9 +193,9 @@ def contaminated(
     hits = keep_table(hits).join(sized, "item").withColumn(
         "all", F.size("item_words") - F.col("size") + 1
     )
-    # What can still be flagged: too few windows on all shifts together are dropped here.
+    # What can still be flagged: places that repeat count each time here, so none is lost.
     total = hits.groupBy("row", "item").agg(
-        F.sum("windows").alias("total"), F.max(F.col("windows") + F.col("size") - 1).alias("most")
+        F.sum("n").alias("total"), F.max(F.col("n") + F.col("size") - 1).alias("most")
     )
     strong = hits.join(total, ["row", "item"]).where(
         (F.col("most") >= least_words) | (F.col("total") >= F.col("all") * least_share)
@@ -182,36 +203,45 @@ def contaminated(
     strong = cut_lineage(strong.drop("total", "most"))
     texts = rows.join(strong.select("row").distinct(), "row", "left_semi")
     texts = texts.select("row", "id", once(words("text")).alias("words"))
-    length = (F.col("last") - F.col("first") + F.col("size")).cast("int")
-    pairs = F.filter(
+    length = (F.col("n") + F.col("size") - 1).cast("int")
+    pairs = F.transform(
         F.arrays_zip(
             F.slice("words", (F.col("first") + 1).cast("int"), length).alias("mine"),
             F.slice("item_words", (F.col("first") - F.col("shift") + 1).cast("int"), length)
             .alias("theirs"),
         ),
-        lambda pair: kind(pair["theirs"]).isNotNull(),
-    )
-    pairs = F.transform(
-        pairs,
-        lambda pair: F.struct(
-            bare(pair["mine"]).alias("mine"), bare(pair["theirs"]).alias("theirs")
+        lambda pair, at: F.struct(
+            (F.col("first") + at).alias("at"),
+            pair["theirs"].alias("theirs"),
+            bare(pair["mine"]).alias("mine"),
+            (bare(pair["mine"]) != bare(pair["theirs"])).alias("changed"),
         ),
     )
-    compared = strong.join(texts, "row").withColumn("slots", F.array_distinct(pairs))
-    mine = F.array_distinct(F.transform("slots", lambda pair: pair["mine"]))
-    theirs = F.array_distinct(F.transform("slots", lambda pair: pair["theirs"]))
-    consistent = (F.size(mine) == F.size("slots")) & (F.size(theirs) == F.size("slots"))
-    changed = F.exists("slots", lambda pair: pair["mine"] != pair["theirs"])
+    slots = F.filter(pairs, lambda pair: kind(pair["theirs"]).isNotNull())
+    compared = strong.join(texts, "row").select(
+        "id", "item_id", *ALIGNMENT, "first", "n", "size", "all", slots.alias("slots")
+    )
+    pieces = _consistent(compared)
+    # Item places that an earlier piece has already are not counted again.
+    place = F.col("first") - F.col("shift")
+    before = (
+        Window.partitionBy("row", "item")
+        .orderBy(place, "n")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    reached = F.max(F.when(F.col("best"), place + F.col("n"))).over(before)
+    fresh = F.greatest(
+        F.lit(0), place + F.col("n") - F.greatest(place, F.coalesce(reached, place))
+    )
     found = (
-        compared.where(consistent)
-        .withColumn("changed", changed)
+        pieces.withColumn("fresh", F.when(F.col("best"), fresh).otherwise(0))
         .groupBy("row", "id", "item")
         .agg(
             F.any_value("item_id").alias("item_id"),
-            F.sum("windows").alias("windows"),
-            F.max(F.col("windows") + F.col("size") - 1).alias("longest"),
-            F.least(F.lit(1.0), F.sum("windows") / F.any_value("all")).alias("share"),
-            F.bool_or("changed").alias("changed"),
+            F.sum(F.when(F.col("best"), F.col("n"))).alias("windows"),
+            F.max(F.col("n") + F.col("size") - 1).alias("longest"),
+            (F.sum("fresh") / F.any_value("all")).alias("share"),
+            F.bool_or(F.col("best") & F.col("changed")).alias("changed"),
         )
     )
     return found.where(

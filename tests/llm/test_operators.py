@@ -390,6 +390,24 @@ def test_copies_are_found_whatever_their_case_and_slots(spark, tmp_path):
     assert all(got[at].share == 1 for at in got)
 
 
+def test_places_of_an_item_count_once(spark, tmp_path):
+    words = [f"word{chr(97 + at)}" for at in range(24)]
+    item, line = " ".join(words[:20]), " ".join(words[:8])
+    texts = [
+        ". ".join(["rubric " + line] * 7),
+        " ".join([*words[:8], "other", *words[9:17], "other", *words[18:20]]),
+        " ".join([*words[:9], "cut", "here", *words[3:14]]),
+        " ".join([*words[:13], "and", "others"]),
+    ]
+    got = found_in(spark, tmp_path, texts, [item])
+    assert {key: (r.windows, r.longest, r.share) for key, r in got.items()} == {
+        (3, 0): (6, 13, 6 / 13)
+    }
+    longer = [" ".join([*words[:10], "cut", "here", *words[3:15]])]
+    got = found_in(spark, tmp_path / "longer", longer, [item])
+    assert (got[0, 0].windows, got[0, 0].longest, got[0, 0].share) == (8, 12, 8 / 13)
+
+
 def test_licences(odd, empty, spark):
     texts = [
         (1, "The MIT License. mit-license! Apache License, general public license"),
