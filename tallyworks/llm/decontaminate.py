@@ -135,17 +135,52 @@ def _hits(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
 
 
 def _consistent(runs: DataFrame) -> DataFrame:
-    """``runs`` whose slots do not contradict each other, with ``changed`` and ``best``."""
-    pairs = F.array_distinct(
-        F.transform("slots", lambda slot: F.struct(slot["mine"], slot["theirs"]))
-    )
-    mine = F.array_distinct(F.transform("slots", lambda slot: slot["mine"]))
-    theirs = F.array_distinct(F.transform("slots", lambda slot: slot["theirs"]))
-    consistent = (F.size(mine) == F.size(pairs)) & (F.size(theirs) == F.size(pairs))
-    changed = F.exists("slots", lambda slot: slot["changed"])
-    return (
-        runs.where(consistent).withColumn("changed", changed).withColumn("best", F.lit(True))
+    """Pieces of ``runs`` without a contradiction: their columns, ``changed`` and ``best``.
+
+    An alignment is cut into its longest stretches in which an item's value is replaced by the
+    same value wherever it stands; stretches may overlap. ``best`` marks the pieces of the stretch
+    that has most windows: of stretches that contradict each other one counts.
+    """
+    values = runs.select(*ALIGNMENT, F.inline("slots"))
+    same = Window.partitionBy(*ALIGNMENT, "theirs").orderBy("at")
+    neighbours = values.select(
+        *ALIGNMENT,
+        F.lag("at").over(same).alias("before"),
+        F.col("at").alias("stop"),
+        (F.lag("mine").over(same) != F.col("mine")).alias("differ"),
+    )
+    broken = neighbours.where("differ").drop("differ")
+    # A stretch starts with the alignment, or behind the first value of a contradiction.
+    whole = runs.select(*ALIGNMENT).distinct().select(
+        *ALIGNMENT, F.lit(-1).alias("before"), F.lit(None).cast("int").alias("stop")
+    )
+    later = (
+        Window.partitionBy(*ALIGNMENT)
+        .orderBy(F.desc("before"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    stretches = whole.unionByName(broken).select(
+        *ALIGNMENT,
+        (F.col("before") + 1).alias("start"),
+        F.min("stop").over(later).alias("stop"),
+    )
+    end = F.col("first") + F.col("n") + F.col("size") - 1
+    cut = runs.join(stretches, list(ALIGNMENT)).withColumn(
+        "_end", F.least(end, F.col("stop"))
+    )
+    cut = cut.withColumn("first", F.greatest("first", "start")).withColumn(
+        "n", F.col("_end") - F.col("first") - F.col("size") + 1
+    )
+    changed = F.exists(
+        "slots",
+        lambda slot: slot["changed"] & (slot["at"] >= F.col("first")) & (slot["at"] < F.col("_end")),
     )
+    pieces = cut.where("n > 0").withColumn("changed", changed).drop("slots", "stop", "_end")
+    of_one = Window.partitionBy(*ALIGNMENT, "start")
+    rank = F.struct("_windows", -F.col("start"))
+    summed = pieces.withColumn("_windows", F.sum("n").over(of_one))
+    best = rank == F.max(rank).over(Window.partitionBy(*ALIGNMENT))
+    return summed.withColumn("best", best).drop("_windows", "start")
 
 
 def contaminated(
@@ -221,7 +256,8 @@ def contaminated(
     compared = strong.join(texts, "row").select(
         "id", "item_id", *ALIGNMENT, "first", "n", "size", "all", slots.alias("slots")
     )
-    pieces = _consistent(compared)
+    # Kept, as it is read three times.
+    pieces = _consistent(keep_table(compared))
     # Item places that an earlier piece has already are not counted again.
     place = F.col("first") - F.col("shift")
     before = (

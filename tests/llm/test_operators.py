@@ -408,6 +408,57 @@ def test_places_of_an_item_count_once(spark, tmp_path):
     assert (got[0, 0].windows, got[0, 0].longest, got[0, 0].share) == (8, 12, 8 / 13)
 
 
+def test_a_contradiction_does_not_drop_a_copy(spark, tmp_path):
+    words = [f"word{chr(97 + at // 26)}{chr(97 + at % 26)}" for at in range(60)]
+    words[5] = words[35] = words[50] = "40"
+    item = " ".join(words)
+    typo = " ".join([*words[:35], "41", *words[36:]])
+    middle = " ".join([*words[:5], "7", *words[6:35], "8", *words[36:50], "7", *words[51:]])
+    pears = "he buys 3 red apples and 5 green pears from the old man there"
+    both = pears.replace("3", "4").replace("5", "4")
+    torn = " ".join([*words[:11], "x", *words[12:18], "x", *words[19:29], "x"])
+    got = found_in(spark, tmp_path, [typo, middle, both, torn], [item, pears])
+    assert {key: r.changed for key, r in got.items()} == {
+        (0, 0): True, (1, 0): True, (2, 1): True
+    }
+    assert (got[0, 0].windows, got[0, 0].longest) == (37, 44)
+    assert (got[1, 0].windows, got[1, 0].longest) == (37, 44)
+    assert (got[2, 1].windows, got[2, 1].longest, got[2, 1].share) == (7, 14, 1)
+
+
+def test_pieces_are_all_longest_consistent_stretches(spark):
+    draw = random.Random(6)
+    rows, expected = [], {}
+    for row in range(40):
+        theirs = [draw.choice("1234") for _ in range(14)]
+        mine = [draw.choice("789") if draw.random() < 0.3 else value for value in theirs]
+        slots = [(at, t, m, t != m) for at, (t, m) in enumerate(zip(theirs, mine))]
+        rows.append((row, row, 0, 0, 0, 12, 3, 12, slots))
+
+        def holds(low, high):
+            return len(set(zip(theirs[low:high], mine[low:high]))) == len(set(theirs[low:high]))
+
+        spans = [(a, b) for a in range(14) for b in range(a + 3, 15) if holds(a, b)]
+        expected[row] = max((b - a for a, b in spans), default=0)
+    kind = "array<struct<at: int, theirs: string, mine: string, changed: boolean>>"
+    runs = spark.createDataFrame(
+        rows,
+        "row long, id long, item long, shift int, first int, n int, size int, `all` int, "
+        f"slots {kind}",
+    )
+    pieces = decontaminate._consistent(runs).collect()
+    found = dict.fromkeys(expected, 0)
+    for piece in pieces:
+        words = slice(piece.first, piece.first + piece.n + piece.size - 1)
+        pairs = {(slot[1], slot[2]) for slot in rows[piece.row][-1][words]}
+        assert len(pairs) == len({theirs for theirs, _ in pairs})
+        assert piece.changed == any(theirs != mine for theirs, mine in pairs)
+        found[piece.row] = max(found[piece.row], piece.n + piece.size - 1)
+    assert found == expected
+    best = collections.Counter(piece.row for piece in pieces if piece.best)
+    assert best == {row: 1 for row, longest in expected.items() if longest}
+
+
 def test_licences(odd, empty, spark):
     texts = [
         (1, "The MIT License. mit-license! Apache License, general public license"),
