@@ -13,6 +13,7 @@ from tallyworks.llm import (
     decontaminate,
     languages,
     licenses,
+    merkle,
     pii,
     pst,
     simhash,
@@ -167,3 +168,105 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", languages.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
     )
+
+
+MERKLE_SQL = """
+WITH RECURSIVE keyed AS (
+  SELECT *, xor(list_reduce(
+      list_prepend(4294967295::UBIGINT,
+                   list_transform(string_split(doc_id::VARCHAR, ''), x -> ascii(x)::UBIGINT)),
+      (c, b) -> list_reduce(
+          list_prepend(xor(c, b), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+          (d, i) -> xor(d >> 1, 3988292384::UBIGINT * (d & 1)))),
+      4294967295::UBIGINT) % 7 = 0 AS changes
+  FROM documents
+), parts AS (
+  SELECT doc_id, lang, changes, n_chars,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+      || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM keyed
+), leaves AS (
+  SELECT doc_id, lang, changes,
+    sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) AS other
+  FROM parts
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves
+), levels AS (
+  SELECT lang, 0 AS level, pos, n, leaf AS node FROM placed
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, (n + 1) // 2, sha256(node || coalesce(after, ''))
+  FROM (SELECT *, lead(node) OVER (PARTITION BY lang ORDER BY pos) AS after FROM levels WHERE n > 1)
+  WHERE pos % 2 = 0
+), subroots AS (
+  SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos,
+    count(*) OVER () AS n
+  FROM levels WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, pos, n, subroot AS node FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(node || coalesce(after, ''))
+  FROM (SELECT *, lead(node) OVER (ORDER BY pos) AS after FROM tops WHERE n > 1)
+  WHERE pos % 2 = 0
+), heights AS (
+  SELECT lang, max(level) AS height FROM levels GROUP BY lang
+), steps AS (
+  SELECT p.doc_id, l.level, (p.pos >> l.level) % 2 = 1 AS before, s.node
+  FROM placed p
+  JOIN levels l ON l.lang IS NOT DISTINCT FROM p.lang AND l.n > 1 AND l.pos = p.pos >> l.level
+  LEFT JOIN levels s
+    ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = l.level AND s.pos = xor(l.pos, 1)
+  UNION ALL
+  SELECT p.doc_id, h.height + l.level, (r.pos >> l.level) % 2 = 1, s.node
+  FROM placed p
+  JOIN heights h ON h.lang IS NOT DISTINCT FROM p.lang
+  JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang
+  JOIN tops l ON l.n > 1 AND l.pos = r.pos >> l.level
+  LEFT JOIN tops s ON s.level = l.level AND s.pos = xor(l.pos, 1)
+), folds AS (
+  SELECT doc_id, 0 AS level, CASE WHEN changes THEN other ELSE leaf END AS node FROM placed
+  UNION ALL
+  SELECT f.doc_id, f.level + 1, sha256(CASE WHEN s.before THEN s.node || f.node
+                                            ELSE f.node || coalesce(s.node, '') END)
+  FROM folds f JOIN steps s ON s.doc_id = f.doc_id AND s.level = f.level
+), proofs AS (
+  SELECT doc_id, sha256(coalesce(string_agg(node, '' ORDER BY level), '')) AS proof_sha256
+  FROM steps GROUP BY doc_id
+), folded AS (
+  SELECT doc_id, arg_max(node, level) AS folded_root FROM folds GROUP BY doc_id
+)
+SELECT p.doc_id, p.leaf, r.subroot, t.node AS root, coalesce(o.proof_sha256, sha256('')) AS proof_sha256,
+  f.folded_root, f.folded_root = t.node AS verified
+FROM placed p
+JOIN subroots r ON r.lang IS NOT DISTINCT FROM p.lang
+JOIN (SELECT node FROM tops WHERE n = 1) t ON true
+LEFT JOIN proofs o ON o.doc_id = p.doc_id
+JOIN folded f ON f.doc_id = p.doc_id
+"""
+
+
+@query("op13_merkle", MERKLE_SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = documents(spark, sf_dir, *columns)
+    manifest = merkle.build(
+        docs,
+        columns,
+        id_col="doc_id",
+        tree_col="lang",
+        changed=F.crc32(F.col("doc_id").cast("string")) % 7 == 0,
+        changes={"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1},
+    )
+    return manifest.proofs().select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
