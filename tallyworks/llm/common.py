@@ -18,8 +18,10 @@ from pyspark.sql.types import StructType
 # Executors need not have this package installed: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules["tallyworks.llm"])
 
-# Rows handed to a Python worker at once; a batch of ordinary texts is a few megabytes.
+# Rows handed to a Python worker at once; a batch of ordinary texts is a few megabytes,
+# one of long texts ends where it has so many bytes.
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 # A longer text is worked on in pieces of about this many bytes.
 PIECE_BYTES = 1 << 20
@@ -29,12 +31,18 @@ _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 def documents(spark: SparkSession, data_dir: str, *columns: str) -> DataFrame:
     """Columns of the documents table, with settings fit for whole texts in Arrow batches."""
+    return table(spark, data_dir, "documents", *columns)
+
+
+def table(spark: SparkSession, data_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table, with the settings that the operators expect."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    table = spark.read.parquet(f"{data_dir}/documents.parquet")
-    return table.select(*columns) if columns else table
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    found = spark.read.parquet(f"{data_dir}/{name}.parquet")
+    return found.select(*columns) if columns else found
 
 
 def per_worker(key: Any, make: Callable[[], Any]) -> Any:

@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm import (
+    alignment,
     bpe,
     decontaminate,
     languages,
     licenses,
     merkle,
+    nearest,
     pii,
     pst,
     simhash,
@@ -21,10 +23,12 @@ from tallyworks.llm import (
     suffixes,
     tokenfiles,
 )
-from tallyworks.llm.common import documents
+from tallyworks.llm.common import documents, table
 from tallyworks.session import work_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -174,10 +178,10 @@ MERKLE_SQL = """
 WITH RECURSIVE keyed AS (
   SELECT *, xor(list_reduce(
       list_prepend(4294967295::UBIGINT,
-                   list_transform(string_split(doc_id::VARCHAR, ''), x -> ascii(x)::UBIGINT)),
-      (c, b) -> list_reduce(
+                   list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+      lambda c, b: list_reduce(
           list_prepend(xor(c, b), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
-          (d, i) -> xor(d >> 1, 3988292384::UBIGINT * (d & 1)))),
+          lambda d, i: xor(d >> 1, 3988292384::UBIGINT * (d & 1)))),
       4294967295::UBIGINT) % 7 = 0 AS changes
   FROM documents
 ), parts AS (
@@ -270,3 +274,34 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root",
         "verified",
     )
+
+
+@query("op11_alignment")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    found, _ = alignment.align(docs, BYTE_BPE, PIECE_BPE)
+    return found.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})
+
+
+TOP_K_SQL = """
+WITH scaled AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS vector
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), ranked AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_inner_product(q.vector, c.vector)::BIGINT AS score,
+    row_number() OVER (PARTITION BY q.vec_id ORDER BY score DESC, c.vec_id) AS rank
+  FROM scaled q JOIN scaled c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op12_top_k", TOP_K_SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    found = nearest.top_k(rows, F.col("id") % 20 == 0, 20)
+    return found.withColumnRenamed("id", "vec_id")
