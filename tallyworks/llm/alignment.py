@@ -8,7 +8,7 @@ all linked with each other. How many documents of the corpus hold a pair of ids
 which tokens stand for the same text.
 
 A text is cut before a space that follows a plain letter, digit or mark. No token of either kind
-reaches over such a place, so a word is aligned once by each worker and looked up after that.
+reaches over such a place, so each different word of a batch is aligned once, all in one go.
 Each task counts the pairs of its documents by chunks of about ``CHUNK_PAIRS`` pairs; the counts are
 summed in Spark, and each chunk gets back those of its own pairs, whatever the corpus holds.
 
@@ -20,12 +20,14 @@ and an empty ``groups``. Rows that repeat, or have one id, are documents of thei
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+import json
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,59 +40,112 @@ from tallyworks.session import keep_table
 
 # Different (document, pair) entries that are counted together.
 CHUNK_PAIRS = 1 << 20
-# Words that a worker keeps; at more it starts anew.
-KEPT_UNITS = 150_000
-_KEPT_BYTES = 64
+# A longer word is encoded by a library that does it in less than quadratic time.
+_LONG_UNIT = 2048
+# A group with more links has each different pair worked out once.
+_MANY_LINKS = 4096
 
+# Fixed value: how byte-level vocabularies of this kind cut a text into words.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _CUT = regex.compile(rb"(?:(?<=[!-~])|(?<=\xC3[\x80-\xBF])) (?=[\x00-\xFF])")
 _B_BITS = 16
 
 
-def gallop(shorter: Sequence[int], longer: Sequence[int]) -> list[tuple[int, int]]:
-    """Places of the values that two ascending lists have in common."""
+def gallop(
+    values: np.ndarray, longer: np.ndarray, start: np.ndarray, stop: np.ndarray
+) -> np.ndarray:
+    """For each value the first place from its ``start`` on where ``longer`` is not below it.
+
+    The steps double until they pass the value or reach ``stop``; then a binary search goes on
+    between the last two. All values take their steps at once.
+    """
+    low, high = start.copy(), start.copy()
+    live = np.arange(len(values))
+    step = 1
+    while len(live):
+        live = live[high[live] < stop[live]]
+        live = live[longer[high[live]] < values[live]]
+        low[live] = high[live] + 1
+        high[live] = np.minimum(high[live] + step, stop[live])
+        step *= 2
+    live = np.flatnonzero(low < high)
+    while len(live):
+        middle = (low[live] + high[live]) // 2
+        below = longer[middle] < values[live]
+        low[live[below]] = middle[below] + 1
+        high[live[~below]] = middle[~below]
+        live = live[low[live] < high[live]]
+    return low
+
+
+def common_ends(
+    first: np.ndarray, second: np.ndarray, n_first: np.ndarray, n_second: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the ends that both lists have, word by word.
+
+    ``first`` and ``second`` are the ends of all words' tokens, ``n_first`` and ``n_second`` how
+    many each word has. The list that is shorter in a word drives the search in the other.
+    """
     found = []
-    low, size = 0, len(longer)
-    for at, value in enumerate(shorter):
-        step = 1
-        high = low
-        while high < size and longer[high] < value:
-            low = high + 1
-            high += step
-            step *= 2
-        low = bisect_left(longer, value, low, min(high, size))
-        if low == size:
-            break
-        if longer[low] == value:
-            found.append((at, low))
-            low += 1
-    return found
-
-
-def common_ends(first: Sequence[int], second: Sequence[int]) -> list[tuple[int, int]]:
-    """For each end that both have, how many of the first and of the second have ended."""
-    if len(first) <= len(second):
-        return [(a + 1, b + 1) for a, b in gallop(first, second)]
-    return [(a + 1, b + 1) for b, a in gallop(second, first)]
-
-
-class Aligner(dict):
-    """Words, each with the number under which its alignment is kept."""
+    drives = n_first <= n_second
+    sides = (first, second, n_first, n_second, drives), (second, first, n_second, n_first, ~drives)
+    for short, long, n_short, n_long, mine in sides:
+        each = n_short[mine]
+        at = _ranges((np.cumsum(n_short) - n_short)[mine], each)
+        stop = np.cumsum(n_long)[mine]
+        place = gallop(
+            short[at], long, np.repeat(stop - n_long[mine], each), stop := np.repeat(stop, each)
+        )
+        hit = np.flatnonzero(place < stop)
+        hit = hit[long[place[hit]] == short[at[hit]]]
+        found.append((at[hit], place[hit]))
+    (a, b), (d, c) = found
+    a, b = np.concatenate([a, c]), np.concatenate([b, d])
+    order = np.argsort(a)
+    return a[order], b[order]
+
+
+def byte_ranks(file_text: str) -> dict[bytes, int]:
+    """Ids of a byte-level vocabulary's entries, which are also the ranks of their merges."""
+    described = json.loads(file_text)
+    byte_of = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
+    special = {token["content"] for token in described["added_tokens"]}
+    ids = described["model"]["vocab"]
+    merges = (pair if isinstance(pair, list) else pair.split(" ") for pair in described["model"]["merges"])
+    made = [ids[left + right] for left, right in merges]
+    if made != sorted(set(made)):
+        raise ValueError("the vocabulary's ids are not in the order of its merges")
+    return {
+        bytes(byte_of[symbol] for symbol in name): number
+        for name, number in ids.items()
+        if name not in special
+    }
+
+
+class Aligner:
+    """Two tokenizers, and the bytes of their tokens."""
 
     def __init__(self, first_file: str, second_model: bytes) -> None:
-        super().__init__()
-        self.first = Tokenizer.from_str(first_file)
+        ranks = byte_ranks(first_file)
+        self.first = tiktoken.Encoding(
+            "first", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}
+        )
+        self.first_long = Tokenizer.from_str(first_file)
         # Their strings in a text are then ordinary text.
-        self.first.encode_special_tokens = True
+        self.first_long.encode_special_tokens = True
         self.second = SentencePieceProcessor(model_proto=second_model)
-        byte_of = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
-        names = self.first.get_vocab(with_added_tokens=True)
-        self.first_bytes = [b""] * (max(names.values()) + 1)
-        for name, number in names.items():
-            self.first_bytes[number] = bytes(byte_of[symbol] for symbol in name)
+        self.first_bytes = [b""] * (max(ranks.values()) + 1)
+        for name, number in ranks.items():
+            self.first_bytes[number] = name
         self.second_bytes = [self._piece(at) for at in range(self.second.get_piece_size())]
         if len(self.second_bytes) > 1 << _B_BITS:
             raise ValueError(f"the second vocabulary has over {1 << _B_BITS} pieces")
-        self.forget()
+        self.sizes = [
+            np.fromiter(map(len, names), np.int64, len(names))
+            for names in (self.first_bytes, self.second_bytes)
+        ]
+        most = max(map(len, self.sizes))
+        self.decimal = list(map(str, range(most)))
 
     def _piece(self, number: int) -> bytes:
         piece = self.second.id_to_piece(number)
@@ -98,49 +153,83 @@ class Aligner(dict):
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def forget(self) -> None:
-        self.clear()
-        # By number: counts of tokens, groups, links (-1: the bytes differ), codes, and the text.
-        self.numbers: list[tuple[int, int, int, int, int]] = []
-        self.codes: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
-        self.texts: list[str] = []
-
-    def __missing__(self, unit: bytes) -> int:
-        number = len(self.numbers)
-        self.align(unit)
-        if len(unit) <= _KEPT_BYTES:
-            self[unit] = number
-        return number
-
-    def align(self, unit: bytes) -> None:
-        text = unit.decode()
-        first = self.first.encode(" " + text, add_special_tokens=False).ids
-        second = self.second.encode(text)
-        parts = [self.first_bytes[one] for one in first], [self.second_bytes[one] for one in second]
-        whole = b" " + unit
-        codes, times, printed = [], [], []
-        if any(b"".join(part) != whole for part in parts):
-            self.numbers.append((0, 0, 0, -1, 0))
-        else:
-            ends = [np.cumsum([len(each) for each in part]).tolist() for part in parts]
-            left = right = links = 0
-            cuts = common_ends(*ends)
-            for to_left, to_right in cuts:
-                some, other = first[left:to_left], second[right:to_right]
-                left, right = to_left, to_right
-                links += len(some) * len(other)
-                printed.append(f"{','.join(map(str, some))}|{','.join(map(str, other))}")
-                # Of a long group, each different pair once with its number.
-                a, n_a = np.unique(some, return_counts=True)
-                b, n_b = np.unique(other, return_counts=True)
-                codes.append((a[:, None] << _B_BITS | b).ravel())
-                times.append(np.outer(n_a, n_b).ravel())
-            size = sum(map(len, codes))
-            self.numbers.append((len(first), len(second), len(cuts), links, size))
-        self.codes.append(np.concatenate(codes) if codes else np.zeros(0, np.int64))
-        self.times.append(np.concatenate(times) if times else np.zeros(0, np.int64))
-        self.texts.append(";".join(printed))
+    def first_ids(self, text: str) -> list[int]:
+        if len(text) > _LONG_UNIT:  # this library sorts the merges of a long word
+            return self.first_long.encode(text, add_special_tokens=False).ids
+        return self.first.encode_ordinary(text)
+
+    def ids(self, units: list[bytes]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+        """Ids of each word by both, none where its bytes don't come back, and which these are."""
+        texts = [unit.decode() for unit in units]
+        first = [self.first_ids(" " + text) for text in texts]
+        second = self.second.encode(texts, num_threads=1)
+        both = (first, self.first_bytes), (second, self.second_bytes)
+        amiss = np.zeros(len(units), bool)
+        whole = b"".join(b" " + unit for unit in units)
+        if any(b"".join(map(names.__getitem__, chain(*ids))) != whole for ids, names in both) or any(
+            sum(map(len, map(names.__getitem__, ids[-1]))) != len(units[-1]) + 1
+            for ids, names in both
+            if ids
+        ):
+            for at, unit in enumerate(units):
+                if any(b"".join(names[one] for one in ids[at]) != b" " + unit for ids, names in both):
+                    amiss[at] = True
+                    first[at], second[at] = [], []
+        return first, second, amiss
+
+
+class Words:
+    """Alignments of different words: counts, the ids by group as text, and the linked pairs."""
+
+    def __init__(self, aligner: Aligner, units: list[bytes]) -> None:
+        first, second, self.amiss = aligner.ids(units)
+        self.n_a, self.n_b = (
+            np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (first, second)
+        )
+        a = np.fromiter(chain(*first), np.int64, self.n_a.sum())
+        b = np.fromiter(chain(*second), np.int64, self.n_b.sum())
+        ends_a, ends_b = (np.cumsum(size[ids]) for size, ids in zip(aligner.sizes, (a, b)))
+        last_a, last_b = common_ends(ends_a, ends_b, self.n_a, self.n_b)
+        stop_a, stop_b = last_a + 1, last_b + 1
+        start_a, start_b = np.append(0, stop_a)[:-1], np.append(0, stop_b)[:-1]
+        size_a, size_b = stop_a - start_a, stop_b - start_b
+        unit = np.repeat(np.arange(len(units)), self.n_a)[last_a]
+        self.n_groups = np.bincount(unit, minlength=len(units))
+        links = size_a * size_b
+        self.n_links = np.zeros(len(units), np.int64)
+        np.add.at(self.n_links, unit, links)
+
+        names_a = [aligner.decimal[one] for one in chain(*first)]
+        names_b = [aligner.decimal[one] for one in chain(*second)]
+        printed = [
+            f"{names_a[i]}|{names_b[k]}"
+            if j - i == 1 == m - k
+            else f"{','.join(names_a[i:j])}|{','.join(names_b[k:m])}"
+            for i, j, k, m in zip(*(x.tolist() for x in (start_a, stop_a, start_b, stop_b)))
+        ]
+        ends = np.cumsum(self.n_groups).tolist()
+        self.texts = [";".join(printed[low:high]) for low, high in zip([0, *ends], ends)]
+
+        small = np.flatnonzero(links <= _MANY_LINKS)
+        each = links[small]
+        within = _ranges(np.zeros(len(small), np.int64), each)
+        row, column = np.divmod(within, np.repeat(size_b[small], each))
+        left = a[np.repeat(start_a[small], each) + row]
+        right = b[np.repeat(start_b[small], each) + column]
+        units_, codes, times = [np.repeat(unit[small], each)], [left << _B_BITS | right], []
+        times.append(np.ones(len(left), np.int64))
+        for at in np.flatnonzero(links > _MANY_LINKS):
+            # Of a long group, each different pair once with its number.
+            some, n_some = np.unique(a[start_a[at] : stop_a[at]], return_counts=True)
+            other, n_other = np.unique(b[start_b[at] : stop_b[at]], return_counts=True)
+            codes.append((some[:, None] << _B_BITS | other).ravel())
+            times.append(np.outer(n_some, n_other).ravel())
+            units_.append(np.full(len(codes[-1]), unit[at]))
+        of = np.concatenate(units_)
+        order = np.argsort(of, kind="stable")
+        self.codes, self.times = np.concatenate(codes)[order], np.concatenate(times)[order]
+        self.sizes = np.bincount(of, minlength=len(units))
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -153,41 +242,37 @@ class _Documents:
     """The alignments of a batch of texts, by the words they are made of."""
 
     def __init__(self, aligner: Aligner, texts: list[bytes | None]) -> None:
-        self.hashes = []
-        owners, units = [], []
-        for text in texts:
-            found = [aligner[unit] for unit in _CUT.split(text)] if text else []
-            owners.append(len(found))
-            units += found
-            printed = map(aligner.texts.__getitem__, found)
-            self.hashes.append(";".join(printed).encode() if found else b"")
-        count = len(texts)
-        numbers = np.array(aligner.numbers, np.int64).reshape(-1, 5)
-        units = np.array(units, np.int64)
-        owners = np.repeat(np.arange(count), owners)
+        numbers: dict[bytes, int] = {}
+        cut = [_CUT.split(text) if text else [] for text in texts]
+        units = [[numbers.setdefault(unit, len(numbers)) for unit in found] for found in cut]
+        del cut
+        words = Words(aligner, list(numbers))
+        count, each = len(texts), list(map(len, units))
+        owners = np.repeat(np.arange(count), each)
+        flat = np.fromiter(chain(*units), np.int64, len(owners))
         # A document with a word whose bytes differ has no tokens.
         amiss = np.zeros(count, bool)
-        amiss[owners[numbers[units, 3] < 0]] = True
+        amiss[owners[words.amiss[flat]]] = True
+        self.groups = [
+            hashlib.sha256(";".join(map(words.texts.__getitem__, found)).encode()).hexdigest()
+            if found and not bad
+            else ""
+            for found, bad in zip(units, amiss.tolist())
+        ]
         fine = ~amiss[owners]
-        units, owners = units[fine], owners[fine]
-        self.totals = np.zeros((4, count), np.int64)
-        for at in range(4):
-            np.add.at(self.totals[at], owners, numbers[units, at])
-        self.hashes = [
-            "" if bad or not text else hashlib.sha256(text).hexdigest()
-            for bad, text in zip(amiss, self.hashes)
+        owners, flat = owners[fine], flat[fine]
+        # Sums of whole numbers, far below what doubles hold exactly.
+        self.totals = [
+            np.bincount(owners, of[flat], minlength=count).astype(np.int64)
+            for of in (words.n_a, words.n_b, words.n_groups, words.n_links)
         ]
         # Words of a document, each once, then their pairs, each once with its links.
-        keys, repeats = np.unique(owners * len(numbers) + units, return_counts=True)
-        owners, units = np.divmod(keys, max(1, len(numbers)))
-        used, place = np.unique(units, return_inverse=True)
-        sizes = numbers[used, 4]
-        codes = np.concatenate([np.zeros(0, np.int64), *(aligner.codes[at] for at in used)])
-        times = np.concatenate([np.zeros(0, np.int64), *(aligner.times[at] for at in used)])
-        each = sizes[place]
-        at = _ranges((np.cumsum(sizes) - sizes)[place], each)
-        entries = np.repeat(owners, each) << 32 | codes[at]
-        links = np.repeat(repeats, each) * times[at]
+        keys, repeats = np.unique(owners * max(1, len(numbers)) + flat, return_counts=True)
+        owners, flat = np.divmod(keys, max(1, len(numbers)))
+        sizes = words.sizes[flat]
+        at = _ranges(words.starts[flat], sizes)
+        entries = np.repeat(owners, sizes) << 32 | words.codes[at]
+        links = np.repeat(repeats, sizes) * words.times[at]
         order = np.argsort(entries, kind="stable")
         entries, links = entries[order], links[order]
         opens = np.flatnonzero(np.append(True, entries[1:] != entries[:-1])[: len(entries)])
@@ -238,7 +323,7 @@ def _aligned(rows: DataFrame, paths: tuple[str, str]) -> DataFrame:
                     n_b=docs.totals[1],
                     n_groups=docs.totals[2],
                     n_links=docs.totals[3],
-                    groups=pa.array(docs.hashes, pa.string()),
+                    groups=pa.array(docs.groups, pa.string()),
                     pairs=pa.ListArray.from_arrays(pa.array(bounds), pa.array(pairs)),
                     links=pa.ListArray.from_arrays(pa.array(bounds), pa.array(docs.links)),
                 )
@@ -266,8 +351,6 @@ def _aligned(rows: DataFrame, paths: tuple[str, str]) -> DataFrame:
             docs = _Documents(aligner, batch.column(1).cast(pa.binary()).to_pylist())
             held.append((batch.column(0), docs))
             size += len(docs.codes)
-            if len(aligner.numbers) > KEPT_UNITS:
-                aligner.forget()
             if size > CHUNK_PAIRS:
                 yield from settle()
                 held, size = [], 0
