@@ -130,9 +130,7 @@ class Aligner:
         self.first = tiktoken.Encoding(
             "first", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}
         )
-        self.first_long = Tokenizer.from_str(first_file)
-        # Their strings in a text are then ordinary text.
-        self.first_long.encode_special_tokens = True
+        self.first_file, self.first_long = first_file, None
         self.second = SentencePieceProcessor(model_proto=second_model)
         self.first_bytes = [b""] * (max(ranks.values()) + 1)
         for name, number in ranks.items():
@@ -154,25 +152,27 @@ class Aligner:
         return piece.replace("▁", " ").encode()
 
     def first_ids(self, text: str) -> list[int]:
-        if len(text) > _LONG_UNIT:  # this library sorts the merges of a long word
-            return self.first_long.encode(text, add_special_tokens=False).ids
-        return self.first.encode_ordinary(text)
+        if len(text) <= _LONG_UNIT:
+            return self.first.encode_ordinary(text)
+        if self.first_long is None:
+            # This library sorts the merges of a long word; few workers meet one.
+            self.first_long = Tokenizer.from_str(self.first_file)
+            # The special tokens' strings in a text are then ordinary text.
+            self.first_long.encode_special_tokens = True
+        return self.first_long.encode(text, add_special_tokens=False).ids
 
     def ids(self, units: list[bytes]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
         """Ids of each word by both, none where its bytes don't come back, and which these are."""
         texts = [unit.decode() for unit in units]
         first = [self.first_ids(" " + text) for text in texts]
         second = self.second.encode(texts, num_threads=1)
-        both = (first, self.first_bytes), (second, self.second_bytes)
         amiss = np.zeros(len(units), bool)
+        # Bytes always come back from the first, whose entries are the bytes themselves.
+        names = self.second_bytes.__getitem__
         whole = b"".join(b" " + unit for unit in units)
-        if any(b"".join(map(names.__getitem__, chain(*ids))) != whole for ids, names in both) or any(
-            sum(map(len, map(names.__getitem__, ids[-1]))) != len(units[-1]) + 1
-            for ids, names in both
-            if ids
-        ):
+        if b"".join(map(names, chain.from_iterable(second))) != whole:
             for at, unit in enumerate(units):
-                if any(b"".join(names[one] for one in ids[at]) != b" " + unit for ids, names in both):
+                if b"".join(map(names, second[at])) != b" " + unit:
                     amiss[at] = True
                     first[at], second[at] = [], []
         return first, second, amiss
@@ -242,22 +242,23 @@ class _Documents:
     """The alignments of a batch of texts, by the words they are made of."""
 
     def __init__(self, aligner: Aligner, texts: list[bytes | None]) -> None:
-        numbers: dict[bytes, int] = {}
         cut = [_CUT.split(text) if text else [] for text in texts]
-        units = [[numbers.setdefault(unit, len(numbers)) for unit in found] for found in cut]
-        del cut
-        words = Words(aligner, list(numbers))
-        count, each = len(texts), list(map(len, units))
+        units = list(dict.fromkeys(chain.from_iterable(cut)))
+        words = Words(aligner, units)
+        numbers = dict(zip(units, range(len(units))))
+        text_of = dict(zip(units, words.texts)).__getitem__
+        count, each = len(texts), list(map(len, cut))
         owners = np.repeat(np.arange(count), each)
-        flat = np.fromiter(chain(*units), np.int64, len(owners))
+        flat = map(numbers.__getitem__, chain.from_iterable(cut))
+        flat = np.fromiter(flat, np.int64, len(owners))
         # A document with a word whose bytes differ has no tokens.
         amiss = np.zeros(count, bool)
         amiss[owners[words.amiss[flat]]] = True
         self.groups = [
-            hashlib.sha256(";".join(map(words.texts.__getitem__, found)).encode()).hexdigest()
+            hashlib.sha256(";".join(map(text_of, found)).encode()).hexdigest()
             if found and not bad
             else ""
-            for found, bad in zip(units, amiss.tolist())
+            for found, bad in zip(cut, amiss.tolist())
         ]
         fine = ~amiss[owners]
         owners, flat = owners[fine], flat[fine]
