@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from tallyworks.llm.bpe import byte_symbols
+from tallyworks.llm.bpe import byte_symbols, ranges
 from tallyworks.llm.common import per_worker, with_fields
 from tallyworks.session import keep_table
 
@@ -91,7 +91,7 @@ def common_ends(
     sides = (first, second, n_first, n_second, drives), (second, first, n_second, n_first, ~drives)
     for short, long, n_short, n_long, mine in sides:
         each = n_short[mine]
-        at = _ranges((np.cumsum(n_short) - n_short)[mine], each)
+        at = ranges((np.cumsum(n_short) - n_short)[mine], each)
         stop = np.cumsum(n_long)[mine]
         place = gallop(
             short[at], long, np.repeat(stop - n_long[mine], each), stop := np.repeat(stop, each)
@@ -212,7 +212,7 @@ class Words:
 
         small = np.flatnonzero(links <= _MANY_LINKS)
         each = links[small]
-        within = _ranges(np.zeros(len(small), np.int64), each)
+        within = ranges(np.zeros(len(small), np.int64), each)
         row, column = np.divmod(within, np.repeat(size_b[small], each))
         left = a[np.repeat(start_a[small], each) + row]
         right = b[np.repeat(start_b[small], each) + column]
@@ -232,12 +232,6 @@ class Words:
         self.starts = np.cumsum(self.sizes) - self.sizes
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """All places of runs that start at ``starts``, one run after the other."""
-    before = np.cumsum(sizes) - sizes
-    return np.arange(sizes.sum()) + np.repeat(starts - before, sizes)
-
-
 class _Documents:
     """The alignments of a batch of texts, by the words they are made of."""
 
@@ -271,7 +265,7 @@ class _Documents:
         keys, repeats = np.unique(owners * max(1, len(numbers)) + flat, return_counts=True)
         owners, flat = np.divmod(keys, max(1, len(numbers)))
         sizes = words.sizes[flat]
-        at = _ranges(words.starts[flat], sizes)
+        at = ranges(words.starts[flat], sizes)
         entries = np.repeat(owners, sizes) << 32 | words.codes[at]
         links = np.repeat(repeats, sizes) * words.times[at]
         order = np.argsort(entries, kind="stable")

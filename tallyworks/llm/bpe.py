@@ -1,9 +1,13 @@
-"""Byte-pair encoding and decoding by a contiguous array of ranks.
+"""Byte-pair encoding and decoding by contiguous arrays of ranks.
 
 A word is held as its parts and, beside them, the rank of each pair of neighbours. The
 smallest rank is looked for again and again, its right part is deleted, and the ranks on
-both sides are looked up anew. Words are short, so scanning a small list beats a heap; a
+both sides are looked up anew. Words are short, so scanning a small array beats a heap; a
 word of more than ``LONG_WORD`` bytes is merged with a heap instead, to the same result.
+
+The different words of a block of texts are merged side by side: words of one length are the
+rows of one array of parts and one of ranks, and each step takes one boundary out of every row
+that has one left. Nothing is kept from block to block but the vocabulary.
 """
 
 from __future__ import annotations
@@ -11,23 +15,25 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import unicodedata
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from tallyworks.llm.common import per_worker, pieces, utf8_texts, with_fields
+from tallyworks.llm.common import per_worker, utf8_texts, with_fields
 
 LONG_WORD = 512
-# Words kept with their ids by each Python worker; beyond it the cache starts anew.
-CACHED_WORDS = 200_000
+# Bytes of text that are encoded together; a longer text is a block of its own.
+BLOCK_BYTES = 2 << 20
 
-# Rows whose ids are held at once.
-_ENCODED_ROWS = 100
+# Longer words, which are rare, are merged one by one.
+_SIDE_BY_SIDE = 64
 
 _NO_RANK = 1 << 62
 _SHIFT = 20
@@ -52,6 +58,7 @@ class Vocabulary:
         symbols = byte_symbols()
         self.inner = [ids[symbol] for symbol in symbols]
         self.last = [ids[symbol + end] for symbol in symbols]
+        self.inner_ids, self.last_ids = np.array(self.inner), np.array(self.last)
         # A pair of ids leads to its rank and the id of the joined part, in one number.
         self.ranks = {
             ids[left] << _SHIFT | ids[right]: rank << _SHIFT | ids[left + right]
@@ -66,14 +73,106 @@ class Vocabulary:
         )
         split = described["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(split, regex.VERSION0)
-        # Letters and digits that ``regex`` knows from a later Unicode version than the
-        # tokenizers library: for splitting they are shown as a private character.
-        every = "".join(map(chr, (*range(0x80, 0xD800), *range(0xE000, 0x110000))))
-        self.newer = {
-            ord(found): "\ue000"
-            for found in regex.findall(r"[\p{L}\p{N}]", every)
-            if unicodedata.category(found)[0] not in "LN"
-        }
+        # Text beyond Latin-1 is normalised and split as the library does it, whose tables of
+        # letters are of another Unicode version than Python's.
+        self.library = Tokenizer.from_str(file_text)
+        self.byte_of = {symbol: byte for byte, symbol in enumerate(symbols)}
+        self._table()
+
+    def _table(self) -> None:
+        """The pairs' ranks in a hash table with open addressing, for many look-ups at once."""
+        keys = np.fromiter(self.ranks, np.int64, len(self.ranks))
+        values = np.fromiter(self.ranks.values(), np.int64, len(self.ranks))
+        size = 1 << max(4, (8 * len(keys)).bit_length())
+        self.mask = size - 1
+        self.pairs, self.found = np.full(size, -1), np.full(size, _NO_RANK)
+        at, left, self.probes = self._slot(keys), np.arange(len(keys)), 0
+        while len(left):
+            self.probes += 1
+            slots = at[left]
+            free = self.pairs[slots] < 0
+            slots, first = np.unique(slots[free], return_index=True)
+            taken = left[free][first]
+            self.pairs[slots], self.found[slots] = keys[taken], values[taken]
+            left = np.setdiff1d(left, taken)
+            at[left] = (at[left] + 1) & self.mask
+
+    def _slot(self, pairs: np.ndarray) -> np.ndarray:
+        mixed = pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(40)).astype(np.int64) & self.mask
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and joined id of pairs, in one number; ``_NO_RANK`` where they aren't joined."""
+        pairs = left << _SHIFT | right
+        at = self._slot(pairs)
+        held = self.pairs[at]
+        result = np.where(held == pairs, self.found[at], _NO_RANK)
+        rest = np.nonzero((held != pairs) & (held >= 0))
+        for _ in range(1, self.probes):
+            if not len(rest[0]):
+                break
+            at[rest] = (at[rest] + 1) & self.mask
+            held = self.pairs[at[rest]]
+            hit = held == pairs[rest]
+            result[rest] = np.where(hit, self.found[at[rest]], _NO_RANK)
+            rest = tuple(axis[~hit & (held >= 0)] for axis in rest)
+        return result
+
+    def merge_rows(self, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Merge words of one length, the rows of an array of bytes.
+
+        Gives the places of rows that are done, and their ids, as often as some get done.
+        """
+        parts = self.inner_ids[words]
+        parts[:, -1] = self.last_ids[words[:, -1]]
+        ranks = self.rank(parts[:, :-1], parts[:, 1:])
+        rows = np.arange(len(words))
+        while parts.shape[1] > 1:
+            at = ranks.argmin(axis=1)
+            lowest = ranks[np.arange(len(at)), at]
+            done = lowest == _NO_RANK
+            if done.any():
+                yield rows[done], parts[done]
+                rest = ~done
+                rows, parts, ranks, at, lowest = (x[rest] for x in (rows, parts, ranks, at, lowest))
+            if not len(rows):
+                return
+            # The boundary goes: all that stands right of it moves one place to the left.
+            column = np.arange(parts.shape[1] - 1)
+            parts = np.take_along_axis(parts, column + (column > at[:, None]), axis=1)
+            every = np.arange(len(rows))
+            parts[every, at] = lowest & _LOW
+            ranks = np.take_along_axis(ranks, column[:-1] + (column[:-1] >= at[:, None]), axis=1)
+            for side in (at - 1, at):
+                near = np.flatnonzero((side >= 0) & (side < ranks.shape[1]))
+                to = side[near]
+                ranks[near, to] = self.rank(parts[near, to], parts[near, to + 1])
+        if len(rows):
+            yield rows, parts
+
+    def merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after the other, and how many each word has."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
+        counts = np.zeros(len(words), np.int64)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        lengths, opens = np.unique(sizes[order], return_index=True)
+        for length, members in zip(lengths.tolist(), np.split(order, opens[1:])):
+            if length > _SIDE_BY_SIDE:
+                merged = [(at, self.merge(words[at])) for at in members.tolist()]
+                done = [(np.array([at]), np.array([ids])) for at, ids in merged]
+            else:
+                data = b"".join(words[at] for at in members.tolist())
+                table = np.frombuffer(data, np.uint8).reshape(-1, length)
+                done = [(members[rows], ids) for rows, ids in self.merge_rows(table)]
+            for rows, ids in done:
+                counts[rows] = ids.shape[1]
+                found.append((rows, ids))
+        starts = np.cumsum(counts) - counts
+        flat = np.zeros(counts.sum(), np.int64)
+        for rows, ids in found:
+            flat[starts[rows][:, None] + np.arange(ids.shape[1])] = ids
+        return flat, counts
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one word."""
@@ -124,19 +223,23 @@ class Vocabulary:
             offer(left)
         return [part for part in parts if part >= 0]
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text: special tokens first, the rest made NFC and lower case."""
-        found: list[int] = []
-        for number, part in enumerate(self.split_special.split(text)):
+    def split(self, word: bytes) -> list[bytes | int]:
+        """What a word between white space is merged in: runs of bytes, ids of special tokens."""
+        text = word.decode()
+        found: list[bytes | int] = []
+        # Special tokens have two signs that few words have.
+        parts = self.split_special.split(text) if "|" in text else [text]
+        for number, part in enumerate(parts):
             if number % 2:
                 found.append(self.special[part])
-            elif part:
-                plain = shown = part.lower()
-                if not part.isascii():
-                    plain = "".join(map(str.lower, unicodedata.normalize("NFC", part)))
-                    shown = plain.translate(self.newer)
-                for word in self.words.finditer(shown):
-                    found += self.merge(plain[word.start() : word.end()].encode())
+            elif not part:
+                continue
+            elif part.isascii() or max(part) < "\u0100":
+                found += [run.encode() for run in self.words.findall(part.lower())]
+            else:
+                plain = self.library.normalizer.normalize_str(part)
+                for run, _ in self.library.pre_tokenizer.pre_tokenize_str(plain):
+                    found.append(bytes(map(self.byte_of.__getitem__, run)))
         return found
 
     def decode(self, ids: list[int]) -> str:
@@ -144,44 +247,87 @@ class Vocabulary:
         return " ".join(map(self.names.__getitem__, ids))
 
 
-class WordIds(dict):
-    """Ids of words between white space; a word that is not here yet is encoded.
+class WordIds:
+    """Ids of the different words of some texts, words being what stands between white space.
 
     White space ends every word and belongs to none, so a text's ids are those of its words
     in turn. A special token has no white space in it.
     """
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        super().__init__()
         self.vocabulary = vocabulary
-        self.cores: dict[bytes, list[int]] = {}
-        # One object per id, shared by all words.
-        self.shared = list(range(len(vocabulary.names)))
-
-    def encoded(self, text: str) -> list[int]:
-        return [self.shared[number] for number in self.vocabulary.encode(text)]
-
-    def __missing__(self, word: bytes) -> list[int]:
-        if word.isalpha():  # of bytes: A-Z and a-z only
-            core = word.lower()
-            ids = self.cores.get(core)
-            if ids is None:
-                ids = self.cores[core] = self.encoded(core.decode())
-        else:
-            ids = self.encoded(word.decode())
-        if len(word) <= LONG_WORD:
-            self[word] = ids
-        return ids
+
+    def runs(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The runs of all words, each different one once, and which of them each word has.
+
+        Ids of the runs and their number for each run; runs, and how many, for each word.
+        """
+        split = self.vocabulary.split
+        # Of bytes, letters are A-Z and a-z only.
+        cut = [[word.lower()] if word.isalpha() else split(word) for word in words]
+        runs = list(dict.fromkeys(chain.from_iterable(cut)))
+        number = dict(zip(runs, range(len(runs))))
+        plain = [run for run in runs if type(run) is bytes]
+        flat, counts = self.vocabulary.merge_all(plain)
+        if len(plain) < len(runs):
+            at = np.array([type(run) is bytes for run in runs])
+            every = np.ones(len(runs), np.int64)
+            every[at] = counts
+            ids = np.zeros(every.sum(), np.int64)
+            of_plain = np.repeat(at, every)
+            ids[of_plain] = flat
+            ids[~of_plain] = [run for run in runs if type(run) is int]
+            flat, counts = ids, every
+        each = np.fromiter(map(len, cut), np.int64, len(cut))
+        of = np.fromiter(map(number.__getitem__, chain.from_iterable(cut)), np.int64, each.sum())
+        return flat, counts, of, each
+
+    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has."""
+        cut = [text.split() for text in texts]
+        words = list(dict.fromkeys(chain.from_iterable(cut)))
+        flat, counts, of, each = self.runs(words)
+        number = dict(zip(words, range(len(words))))
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        at = map(number.__getitem__, chain.from_iterable(cut))
+        at = np.fromiter(at, np.int64, sizes.sum())
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        # From words to their runs, from runs to their ids.
+        owner = np.repeat(owner, each[at])
+        runs = of[ranges((np.cumsum(each) - each)[at], each[at])]
+        size = counts[runs]
+        total = np.bincount(owner, size, len(texts)).astype(np.int64)
+        return flat[ranges((np.cumsum(counts) - counts)[runs], size)], total
 
     def of(self, text: bytes) -> list[int]:
-        ids: list[int] = []
-        for piece in pieces(text):
-            for found in map(self.__getitem__, piece.split()):
-                ids += found
-            if len(self) > CACHED_WORDS:
-                self.clear()
-                self.cores.clear()
-        return ids
+        return self.ids([text])[0].tolist()
+
+    def printed(self, texts: list[bytes]) -> Iterator[tuple[list[int], str]]:
+        """Per text its ids, and the text they decode to."""
+        flat, total = self.ids(texts)
+        ids, ends = flat.tolist(), np.cumsum(total).tolist()
+        for low, high in zip([0, *ends], ends):
+            own = ids[low:high]
+            yield own, self.vocabulary.decode(own)
+
+
+def blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Texts in runs of about ``BLOCK_BYTES``."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > BLOCK_BYTES:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of runs that start at ``starts``, one run after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(sizes.sum()) + np.repeat(starts - before, sizes)
 
 
 def read_vocabulary(path: str) -> str:
@@ -217,12 +363,17 @@ def encode(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _encoder(shared)
         for batch in batches:
-            for at in range(0, batch.num_rows, _ENCODED_ROWS):
-                part = batch.slice(at, _ENCODED_ROWS)
-                ids = [words.of(text) for text in utf8_texts(part.column(place))]
-                columns = [*part.columns, pa.array(ids, pa.list_(pa.int32()))]
+            at = 0
+            for texts in blocks(utf8_texts(batch.column(place))):
+                part = batch.slice(at, len(texts))
+                at += len(texts)
+                flat, sizes = words.ids(texts)
+                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
+                columns = [*part.columns, ids]
                 if decoded:
-                    columns.append(pa.array([words.vocabulary.decode(each) for each in ids], pa.string()))
+                    own = map(np.ndarray.tolist, np.split(flat, ends[1:-1]))
+                    columns.append(pa.array(map(words.vocabulary.decode, own), pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return rows.mapInArrow(work, schema)
@@ -263,16 +414,15 @@ def digests(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _encoder(shared)
-        vocabulary = words.vocabulary
-        decimal = [str(number) for number in range(len(vocabulary.names))].__getitem__
+        decimal = list(map(str, range(len(words.vocabulary.names)))).__getitem__
         sha256 = partial(hashlib.sha256, usedforsecurity=False)
         for batch in batches:
             sizes, of_ids, of_text = [], [], []
-            for text in utf8_texts(batch.column(1)):
-                ids = words.of(text)
-                sizes.append(len(ids))
-                of_ids.append(sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
-                of_text.append(sha256(vocabulary.decode(ids).encode()).hexdigest())
+            for texts in blocks(utf8_texts(batch.column(1))):
+                for ids, decoded in words.printed(texts):
+                    sizes.append(len(ids))
+                    of_ids.append(sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
+                    of_text.append(sha256(decoded.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(of_ids), pa.array(of_text)],
                 schema.names,
