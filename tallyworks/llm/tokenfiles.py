@@ -10,6 +10,7 @@ pages, and a read of the metadata touches no ids.
 from __future__ import annotations
 
 import math
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -38,6 +39,11 @@ _PLAIN = regex.compile(
 )
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class LibraryIds(dict):
     """Ids of words between white space as little-endian bytes, from the tokenizers library.
 
@@ -59,19 +65,22 @@ class LibraryIds(dict):
 
     def whole(self, word: bytes) -> bytes:
         encoding = self.tokenizer.encode(word.decode(), add_special_tokens=False)
-        return np.array(encoding.ids, "<u4").tobytes()
+        return packed(encoding.ids)
 
     def letters(self, core: bytes) -> bytes:
         found = self.cores.get(core)
         if found is None:
-            text = core.decode().lower().encode().decode("latin-1").translate(self.symbols)
-            ids = [token.id for token in self.model.tokenize(text)]
-            found = self.cores[core] = np.array(ids, "<u4").tobytes()
+            text = core.decode()
+            if not text.isascii():
+                text = text.lower().encode().decode("latin-1").translate(self.symbols)
+            found = packed([token.id for token in self.model.tokenize(text)])
+            self.cores[core] = found
         return found
 
     def __missing__(self, word: bytes) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        if plain is None:
+        if word.isalpha():  # of bytes: A-Z and a-z only
+            found = self.letters(word.lower())
+        elif (plain := _PLAIN.fullmatch(word)) is None:
             found = self.whole(word)
         else:
             core, marks = plain.groups()
@@ -152,12 +161,17 @@ def write_tokens(
     """Write the documents' ids in ascending order of ``doc_id``.
 
     Texts are spread by ranges of ``doc_id`` and encoded after that, so ids never cross the
-    network. Repeated rows are written as often as they come, NULL ids first.
+    network. Repeated rows are written as often as they come, NULL ids first. Rows with one id
+    stand in the order of the scan, and may spread over several files.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.col(text_col).alias("text"),
+        F.monotonically_increasing_id().alias("row"),
+    )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(size / part_bytes))
-    ranged = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
+    ranged = rows.repartitionByRange(parts, "doc_id", "row").sortWithinPartitions("doc_id", "row")
     encoded = encode(ranged, tokenizer_path, end_id)
     (
         encoded.write.option("parquet.writer.version", "v2")
@@ -174,12 +188,15 @@ def write_tokens(
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``start`` (ids of all documents before it). Reads no ids."""
     table = spark.read.parquet(path).select("doc_id", "n_tokens", "part", "offset")
-    return _with_starts(table)
+    return _with_starts(table, table)
+
 
+def _with_starts(table: DataFrame, metadata: DataFrame) -> DataFrame:
+    """The start of each part is the sum of the parts before it: one row per file.
 
-def _with_starts(table: DataFrame) -> DataFrame:
-    """The start of each part is the sum of the parts before it: one row per file."""
-    sizes = table.groupBy("part").agg(F.sum("n_tokens").alias("size"))
+    The sums come from the metadata alone, so ids are read once at most.
+    """
+    sizes = metadata.groupBy("part").agg(F.sum("n_tokens").alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
     start = (F.col("base") + F.col("offset")).alias("start")
@@ -197,7 +214,8 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
 
     The checksum covers the ids as little-endian unsigned 32-bit integers.
     """
-    table = spark.read.parquet(path).select("doc_id", "part", "offset", "ids")
+    files = spark.read.parquet(path)
+    table = files.select("doc_id", "part", "offset", "ids")
     schema = with_fields(
         table.select("doc_id", "part", "offset").schema, "n_tokens long, ids_crc32 long"
     )
@@ -215,4 +233,4 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
                 schema.names,
             )
 
-    return _with_starts(table.mapInArrow(work, schema))
+    return _with_starts(table.mapInArrow(work, schema), files.select("part", "n_tokens"))
