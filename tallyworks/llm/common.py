@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import sys
 import types
@@ -53,12 +55,22 @@ def per_worker(key: Any, make: Callable[[], Any]) -> Any:
     kept = sys.modules.setdefault("_tallyworks_kept", types.ModuleType("_tallyworks_kept"))
     store = kept.__dict__
     if store.get("key") != key:
-        store.pop("value", None)
+        if store.pop("value", None) is not None:
+            return_memory()
         store["value"] = make()
         store["key"] = key
     return store["value"]
 
 
+def return_memory() -> None:
+    """Give memory that this process has freed back to the system, where it can be."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def utf8_texts(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow column as UTF-8; NULL as an empty text."""
     return [text or b"" for text in column.cast(pa.binary()).to_pylist()]
