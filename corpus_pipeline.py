@@ -11,8 +11,20 @@ from tallyworks.llm.queries import WORD_BPE
 from tallyworks.session import keep_table
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until ``docs`` has no such column, in any case of its letters."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents without a letter, and those that look like no learned language."""
+    """Reject documents without a letter, and those that look like no learned language.
+
+    NULL and empty texts have no letter and go; of two languages that fit alike the first in
+    the alphabet counts. With no learned language all go. Rows that repeat fare alike.
+    """
     found = languages.identify(docs, languages.learn(docs))
     foreign = (F.col("score") < languages.LEAST_COSINE) & (
         F.length("text") >= languages.LEAST_CHARS
@@ -27,29 +39,40 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows are told apart by their place in the scan, so rows that repeat are one group, and rows
     with one id but different texts are not. A NULL id comes after all others.
     """
-    numbered = docs.withColumn("row", F.monotonically_increasing_id())
-    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    number = _unused(docs, "row")
+    numbered = docs.withColumn(number, F.monotonically_increasing_id())
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col(number).alias("row"))
     keyed = numbered.select(key.alias("key"), "text")
     found = simhash.near_duplicates(keyed, id_col="key", width=3, max_bits=2)
-    kept = found.where("id.row = component.row").select("id.row")
-    return numbered.join(kept, "row", "left_semi").select(*docs.columns)
+    kept = found.where("id.row = component.row").select(F.col("id.row").alias(number))
+    return numbered.join(kept, number, "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that give away an item of the benchmark."""
+    """Drop documents that give away an item of the benchmark.
+
+    NULL and empty texts hold no item and stay; so do all where the benchmark is empty. Rows
+    that repeat are judged alike, whatever their ids.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     found = decontaminate.contaminated(docs, benchmark).select("row").distinct()
-    numbered = docs.withColumn("row", F.monotonically_increasing_id())
-    return numbered.join(found, "row", "left_anti").select(*docs.columns)
+    number = _unused(docs, "row")
+    numbered = docs.withColumn(number, F.monotonically_increasing_id())
+    return numbered.join(
+        found.withColumnRenamed("row", number), number, "left_anti"
+    ).select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data in the texts."""
+    """Replace personal data in the texts; NULL and empty texts stay as they are.
+
+    ``n_chars`` becomes the length of the new text, NULL where that is NULL.
+    """
     return pii.masked(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the texts, and the texts as the ids decode."""
+    """Token ids of the texts, and the texts as the ids decode: none, and "", for NULL and empty."""
     rows = docs.select("doc_id", "lang", "source", "text")
     return bpe.encode(rows, WORD_BPE, decoded="decoded").select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded"
