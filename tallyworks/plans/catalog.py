@@ -5,6 +5,7 @@ from tallyworks.plans import (  # noqa: F401  (importing registers the queries)
     placement_queries,
     retail_queries,
     storage_queries,
+    timeline_queries,
 )
 from tallyworks.plans.registry import QUERIES, Query
 
