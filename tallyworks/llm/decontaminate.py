@@ -16,8 +16,9 @@ from tallyworks.functions.once import once
 from tallyworks.session import cut_lineage, keep_table
 
 WINDOW = 8
-# A template with more placeholders than this says too little; such windows need equal words.
-MOST_SLOTS = 4
+# Ordinary words that a window has to have to be looked for as a template, however many
+# placeholders stand beside them; a window with fewer is looked for by its plain words only.
+LEAST_ORDINARY = 2
 # A document is flagged for an item if this many words in a row are found, or this share of the
 # item's windows.
 LEAST_WORDS = 13
@@ -117,7 +118,7 @@ def _hits(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     """
     wanted = _windows(items, ["item", "words"], size)
     slots = F.size(F.filter(F.slice("words", F.col("at") + 1, size), lambda w: kind(w).isNotNull()))
-    wanted = wanted.where(F.col("plain") | (slots <= min(MOST_SLOTS, size // 2)))
+    wanted = wanted.where(F.col("plain") | (slots <= size - LEAST_ORDINARY))
     wanted = cut_lineage(wanted.select("hash", "item", F.col("at").alias("place")))
     if wanted.count() <= BROADCAST_WINDOWS:
         wanted = F.broadcast(wanted)
@@ -199,8 +200,9 @@ def contaminated(
 
     ``windows``: windows found in consistent runs; ``longest``: words of the longest run;
     ``share``: of the item's windows, each counted once; ``changed``: whether a slot has another value than the item.
-    Items shorter than ``window`` words are looked for as a whole, from three words on; shorter
-    ones, and texts without words, match nothing. ``row`` numbers the rows of ``docs`` in the
+    Items shorter than ``window`` words are looked for as a whole, from three words on. One or two
+    words are found where they are all the words of a document, as they would be in countless
+    others; items without words match nothing. ``row`` numbers the rows of ``docs`` in the
     order of the scan, which must be the same whenever it is computed. Items that repeat are
     taken once each; a NULL item id is an item like others.
     """
@@ -213,10 +215,11 @@ def contaminated(
         F.col(item_col).alias("item_id"), once(words(item_text_col)).alias("words")
     )
     items = cut_lineage(
-        items.where("size(words) >= 3").distinct().withColumn(
+        items.where("size(words) >= 1").distinct().withColumn(
             "item", F.monotonically_increasing_id()
         )
     )
+    brief, items = items.where("size(words) < 3"), items.where("size(words) >= 3")
     # Sizes below the full window: a handful of numbers.
     short = items.where(F.size("words") < window).select(F.size("words").alias("n")).distinct()
     worded = rows.select("row", once(words("text")).alias("words"))
@@ -280,6 +283,25 @@ def contaminated(
             F.bool_or(F.col("best") & F.col("changed")).alias("changed"),
         )
     )
-    return found.where(
+    found = found.where(
         (F.col("longest") >= least_words) | (F.col("share") >= least_share)
     ).select("row", "id", F.col("item_id").alias("item"), "windows", "longest", "share", "changed")
+    if brief.isEmpty():
+        return found
+    return found.unionByName(_whole(rows, brief))
+
+
+def _whole(rows: DataFrame, brief: DataFrame) -> DataFrame:
+    """Documents that have the words of an item of one or two words and no others."""
+    said = F.transform("words", bare).alias("said")
+    mine = rows.select("row", "id", once(words("text")).alias("words")).where("size(words) < 3")
+    theirs = brief.select(F.col("item_id").alias("item"), said, F.size("words").alias("longest"))
+    return mine.select("row", "id", said).join(theirs, "said").select(
+        "row",
+        "id",
+        "item",
+        F.lit(1).cast("long").alias("windows"),
+        F.col("longest").cast("long").alias("longest"),
+        F.lit(1.0).alias("share"),
+        F.lit(False).alias("changed"),
+    )
