@@ -7,6 +7,7 @@ that every run ranks alike.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -403,3 +404,34 @@ def order_line_summary(
     )
     names = {"revenue": "Total Revenue", "average": "Average Order Value"}
     return summary.unionByName(_metrics(totals, names))
+
+
+def revenue_rollup(df: DataFrame, levels: Sequence[str], amount: str) -> DataFrame:
+    """Rows, revenue and average by ``levels`` and by each shorter run of them, down to the total.
+
+    The table is grouped once by all levels, as whole cents; the coarser results are sums of that
+    small result. ``level`` is the number of levels a row is grouped by, which tells a total from a
+    group whose value is NULL. The average is to the cent. Amounts are taken to the cent, halves away from zero;
+    NaN and infinities count as rows, not as amounts of money.
+    """
+    cents = F.round(F.col(amount) * 100).try_cast("decimal(38,0)")
+    finest = df.groupBy(*levels).agg(
+        F.count("*").alias("_rows"), F.sum(cents).alias("_cents"), F.count(cents).alias("_amounts")
+    )
+    # Every level that is rolled up sets one bit.
+    grouped = F.lit(len(levels)) - F.bit_count(F.grouping_id())
+    rolled = finest.rollup(*levels).agg(
+        grouped.cast("int").alias("level"),
+        F.sum("_rows").alias("rows"),
+        F.sum("_cents").alias("_total"),
+        F.sum("_amounts").alias("_all"),
+    )
+    count = F.when(F.col("_all") > 0, F.col("_all"))
+    nearest = F.call_function("div", F.abs("_total") * 2 + count, count * 2)
+    return rolled.select(
+        *levels,
+        "level",
+        "rows",
+        (F.col("_total").cast("double") / 100).alias("revenue"),
+        (F.signum("_total") * nearest / 100).alias("average"),
+    )

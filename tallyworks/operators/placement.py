@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from tallyworks.functions.buckets import row_salt
 from tallyworks.functions.money import money_sum
 
-_TASK = 5_000_000
-
 _TASK = "_placed_in_task"
 
 

@@ -93,3 +93,19 @@ def sample_facts(df: DataFrame, key: str, fraction: float) -> DataFrame:
         F.coalesce(F.bool_and(F.col("drawn") <= F.col("given")), F.lit(True)).alias("contained"),
         (off <= 5 * F.sqrt(n * fraction * (1 - fraction))).alias("fair"),
     )
+
+
+def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows that one table has more often than the other: ``extra_left``, ``extra_right``.
+
+    Both are counted with signs in one pass and one shuffle; every task first sums its own, so a
+    row that is repeated much is no hot key. NULL equals NULL, and columns go by their names.
+    """
+    columns = left.columns
+    signed = left.withColumn("_sign", F.lit(1)).unionByName(right.withColumn("_sign", F.lit(-1)))
+    counted = signed.groupBy(*columns).agg(F.sum("_sign").alias("_more")).where("_more <> 0")
+    return counted.select(
+        *columns,
+        F.greatest("_more", F.lit(0)).cast("bigint").alias("extra_left"),
+        F.greatest(-F.col("_more"), F.lit(0)).cast("bigint").alias("extra_right"),
+    )

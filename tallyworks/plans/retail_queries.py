@@ -978,3 +978,42 @@ def _(t: Tables):
     return quality.schema_profile(
         {"customers": t.accounts(), "products": t.products(), "orders": t.orders()}
     )
+
+
+# --- Rollups and differences of tables -------------------------------------------------
+
+
+@query(
+    "revenue_rollup",
+    """, dated AS (SELECT status, "paymentMethod", strftime("orderDate", '%Y-%m') AS month,
+                             CAST(round("totalAmount" * 100) AS BIGINT) AS cents FROM ordered)
+       SELECT status, "paymentMethod", month,
+              CAST(3 - bit_count(GROUPING(status, "paymentMethod", month)) AS INTEGER) AS level,
+              COUNT(*) AS rows, CAST(SUM(cents) AS DOUBLE) / 100 AS revenue,
+              CAST((2 * SUM(cents) + COUNT(cents)) // (2 * COUNT(cents)) AS DOUBLE) / 100 AS average
+       FROM dated GROUP BY ROLLUP (status, "paymentMethod", month)""",
+    uses="ordered",
+)
+def _(t: Tables):
+    dated = t.orders().withColumn("month", F.date_format("orderDate", "yyyy-MM"))
+    return aggregates.revenue_rollup(dated, ["status", "paymentMethod", "month"], "totalAmount")
+
+
+@query(
+    "order_snapshot_difference",
+    """, first AS (SELECT "customerNumber", status FROM ordered),
+            second AS (SELECT "customerNumber", CASE WHEN "orderNumber" % 5 = 0 THEN 'Shipped' ELSE status END
+                              AS status FROM ordered WHERE "orderNumber" % 7 <> 0),
+            gone AS (SELECT *, COUNT(*) AS n FROM (SELECT * FROM first EXCEPT ALL SELECT * FROM second) GROUP BY ALL),
+            came AS (SELECT *, COUNT(*) AS n FROM (SELECT * FROM second EXCEPT ALL SELECT * FROM first) GROUP BY ALL)
+       SELECT "customerNumber", status, n AS extra_left, 0::BIGINT AS extra_right FROM gone
+       UNION ALL SELECT "customerNumber", status, 0::BIGINT, n FROM came""",
+    uses="ordered",
+)
+def _(t: Tables):
+    """What changed between two states of the orders: some gone, some shipped since."""
+    first = t.orders().select("customerNumber", "status")
+    later = t.orders().where("orderNumber % 7 <> 0").selectExpr(
+        "customerNumber", "IF(orderNumber % 5 = 0, 'Shipped', status) AS status"
+    )
+    return quality.multiset_difference(first, later)

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallyworks.operators import timelines
+from tallyworks.operators import aggregates, quality, timelines
 from tallyworks.plans.catalog import QUERIES
 from tests.conftest import plan, rows
 from tests.oracle import connect, differences
@@ -169,3 +169,26 @@ def test_hot_keys_without_broadcast(without_broadcast, tmp_path, name):
     query = QUERIES[name]
     mine = query.run(without_broadcast, str(tmp_path)).toArrow()
     assert differences(mine, connect(str(tmp_path)).sql(query.sql).to_arrow_table()) == []
+
+
+def test_rollup_of_missing_values(spark):
+    data = [("a", "x", 1.5), ("a", None, 2.25), (None, "x", None), ("a", "x", float("nan")), (None, None, 0.1)]
+    table = spark.createDataFrame(data, "a string, b string, amount double")
+    found = {row[:4]: row[4] for row in rows(aggregates.revenue_rollup(table, ["a", "b"], "amount").drop("average"))}
+    counts = {key[:3]: key[3] for key in found}
+    assert counts[None, None, 0] == 5 and counts["a", None, 1] == 3 and counts["a", None, 2] == 1
+    assert counts[None, None, 1] == 2 and counts[None, None, 2] == 1
+    assert found[None, None, 0, 5] == 3.85 and found[None, "x", 2, 1] is None
+
+
+def test_multiset_difference(spark):
+    left = spark.createDataFrame([(1, "a")] * 3 + [(None, "b"), (2, None)], "k int, v string")
+    right = spark.createDataFrame([("a", 1), ("b", None), ("c", 3), ("c", 3)], "v string, k int")
+    assert rows(quality.multiset_difference(left, right)) == rows_of(
+        (1, "a", 2, 0), (2, None, 1, 0), (3, "c", 0, 2)
+    )
+    assert quality.multiset_difference(left, left).count() == 0
+
+
+def rows_of(*expected):
+    return sorted(expected, key=repr)
