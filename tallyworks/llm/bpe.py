@@ -30,7 +30,7 @@ from tallyworks.llm.common import per_worker, utf8_texts, with_fields
 
 LONG_WORD = 512
 # Bytes of text that are encoded together; a longer text is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 # Longer words, which are rare, are merged one by one.
 _SIDE_BY_SIDE = 64

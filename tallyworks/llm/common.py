@@ -38,13 +38,18 @@ def documents(spark: SparkSession, data_dir: str, *columns: str) -> DataFrame:
 
 def table(spark: SparkSession, data_dir: str, name: str, *columns: str) -> DataFrame:
     """Columns of a table, with the settings that the operators expect."""
+    text_settings(spark)
+    found = spark.read.parquet(f"{data_dir}/{name}.parquet")
+    return found.select(*columns) if columns else found
+
+
+def text_settings(spark: SparkSession) -> None:
+    """Settings fit for whole texts: small Arrow batches, splitting of hot keys, UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    found = spark.read.parquet(f"{data_dir}/{name}.parquet")
-    return found.select(*columns) if columns else found
 
 
 def per_worker(key: Any, make: Callable[[], Any]) -> Any:
