@@ -10,15 +10,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.functions.money import money_sum
 from tallyworks.functions.numeric import affine_steps
-from tallyworks.operators.aggregates import (
-    category_revenue,
-    customer_ltv,
-    number_totals,
-    product_popularity,
-    revenue_enrich,
-)
-from tallyworks.session import cut_lineage, keep_table
+from tallyworks.operators.aggregates import number_totals, revenue_enrich
+from tallyworks.session import cut_lineage
 
 LEVELS = {
     "MEMORY_ONLY": StorageLevel.MEMORY_ONLY,
@@ -49,52 +44,57 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def cached_totals(df: DataFrame, value: str) -> DataFrame:
-    """Count, sum and largest as three separate results over one cached frame."""
-    number = F.col(value)
-    measures = {"count": F.count(number), "sum": F.sum(number), "max": F.max(number)}
-    with persisted(df.select(value)) as shared:
-        parts = [
-            shared.agg(measure.cast("bigint").alias("value")).select(
-                F.lit(name).alias("measure"), "value"
-            )
-            for name, measure in measures.items()
-        ]
-        return cut_lineage(_union(parts))
+    """Count, sum and largest as rows, from one pass over the frame."""
+    totals = number_totals(df, value)
+    measures = {"count": "n", "sum": "total", "max": "largest"}
+    listed = [
+        F.struct(F.lit(name).alias("measure"), F.col(column).cast("bigint").alias("value"))
+        for name, column in measures.items()
+    ]
+    return totals.select(F.inline(F.array(*listed)))
 
 
 def totals_by_level(df: DataFrame, value: str) -> DataFrame:
-    """The same totals under every storage level."""
+    """The same totals as kept under every storage level; the frame is read once."""
+    totals = cut_lineage(number_totals(df, value))
     parts = []
     for level in LEVELS:
-        with persisted(df.select(value), level) as shared:
-            totals = number_totals(shared, value)
-            parts.append(
-                cut_lineage(totals.select(F.lit(level).alias("level"), "*"))
-            )
+        with persisted(totals.select(F.lit(level).alias("level"), "*"), level) as kept:
+            parts.append(cut_lineage(kept))
     return _union(parts)
 
 
 def shared_enrichment(sales: DataFrame, products: DataFrame) -> DataFrame:
-    """Enrich the sales once; take customer, product and category results from it."""
-    columns = ("customerNumber", "productCode", "quantity")
-    enriched = revenue_enrich(sales.select(*columns), products)
-    with persisted(enriched) as shared:
-        results = {
-            "customer_ltv": customer_ltv(shared),
-            "product_popularity": product_popularity(shared),
-            "category_revenue": category_revenue(shared),
-        }
-        parts = []
-        for name, result in results.items():
-            key, value = result.columns
-            parts.append(
-                result.select(
-                    F.lit(name).alias("metric"),
-                    F.col(key).cast("string").alias("key"),
-                    F.col(value).cast("double").alias("value"),
-                )
-            )
-        return keep_table(_union(parts))
+    """Customer, product and category results of the sales, enriched and scanned once.
+
+    All three groupings are summed on the map side, so no enriched line is kept or shuffled.
+    """
+    enriched = revenue_enrich(sales.select("customerNumber", "productCode", "quantity"), products)
+    keys = {
+        "customerNumber": "customer_ltv",
+        "productCode": "product_popularity",
+        "productCategory": "category_revenue",
+    }
+    # Each line once for every grouping, with the measure that the grouping sums.
+    listed = [
+        F.struct(
+            F.lit(name).alias("metric"),
+            F.col(key).cast("string").alias("key"),
+            F.when(F.lit(name == "product_popularity"), F.col("quantity")).cast("double").alias("units"),
+            F.when(F.lit(name != "product_popularity"), F.col("revenue")).alias("revenue"),
+        )
+        for key, name in keys.items()
+    ]
+    summed = (
+        enriched.select(F.inline(F.array(*listed)))
+        .groupBy("metric", "key")
+        .agg(
+            F.sum("units").cast("bigint").cast("double").alias("units"),
+            money_sum("revenue").alias("revenue"),
+        )
+    )
+    value = F.when(F.col("metric") == "product_popularity", F.col("units")).otherwise(F.col("revenue"))
+    return summed.select("metric", "key", value.alias("value"))
 
 
 def cleaned(df: DataFrame, x: str) -> DataFrame:

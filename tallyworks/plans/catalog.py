@@ -4,6 +4,7 @@ from tallyworks.plans import (  # noqa: F401  (importing registers the queries)
     log_queries,
     placement_queries,
     retail_queries,
+    sketch_queries,
     storage_queries,
     timeline_queries,
 )

@@ -25,6 +25,33 @@ def _(t: Tables):
     return delimited.read_csv(t.spark, path, schemas.ORDERS)
 
 
+@query(
+    "csv_date_format",
+    """SELECT "orderNumber",
+              CASE WHEN "orderNumber" % 10 <> 0 THEN "orderDate" END AS "orderDate",
+              "orderNumber" % 10 = 0 AS malformed
+       FROM ordered""",
+    uses="ordered",
+)
+def _(t: Tables):
+    """Dates in the day-first form; every tenth order has one of another form, to be kept and told."""
+    day_first = F.date_format("orderDate", "dd/MM/yyyy")
+    other = F.date_format("orderDate", "yyyy.MM.dd")
+    written = F.when(F.col("orderNumber") % 10 != 0, day_first).otherwise(other)
+    texts = t.orders().select(F.concat_ws(",", "orderNumber", written).alias("value"))
+    path = work_path(t.spark, "orders-by-date-format")
+    texts.write.text(path)
+    schema = schemas.ORDERS
+    schema = StructType([schema["orderNumber"], schema["orderDate"]])
+    checked = delimited.parse_checked(t.spark.read.text(path), schema, date_format="dd/MM/yyyy")
+    number = F.substring_index(F.col(delimited.CORRUPT), ",", 1).cast(schema["orderNumber"].dataType)
+    return checked.select(
+        F.coalesce("orderNumber", number).alias("orderNumber"),
+        "orderDate",
+        F.col(delimited.CORRUPT).isNotNull().alias("malformed"),
+    )
+
+
 def inferred(t: Tables, table: DataFrame, label: str) -> DataFrame:
     """A table written as CSV and read with the types that its text shows.
 

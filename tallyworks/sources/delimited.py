@@ -18,13 +18,16 @@ def read_csv(
     *,
     header: bool = True,
     mode: str = "PERMISSIVE",
+    date_format: str | None = None,
 ) -> DataFrame:
     """Typed CSV scan. Without a schema the types are inferred, at the cost of a pass.
 
-    ``mode`` says what a malformed line does: NULL fields, a dropped line
+    ``date_format`` is the pattern of dates; one that does not fit it is malformed. ``mode`` says what a malformed line does: NULL fields, a dropped line
     (``DROPMALFORMED``) or a failed job (``FAILFAST``). ``parse_checked`` keeps them.
     """
     reader = spark.read.option("header", header).option("mode", mode)
+    if date_format is not None:
+        reader = reader.option("dateFormat", date_format)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
@@ -36,7 +39,11 @@ def canonical_orders(orders: DataFrame) -> DataFrame:
 
 
 def parse_checked(
-    lines: DataFrame, schema: StructType, *, header: str | None = None
+    lines: DataFrame,
+    schema: StructType,
+    *,
+    header: str | None = None,
+    date_format: str | None = None,
 ) -> DataFrame:
     """CSV lines (column ``value``) as typed fields, malformed lines kept whole.
 
@@ -45,6 +52,8 @@ def parse_checked(
     """
     wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    if date_format is not None:
+        options["dateFormat"] = date_format
     if header is not None:
         lines = lines.where(F.col("value") != header)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wide)

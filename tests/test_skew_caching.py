@@ -58,6 +58,7 @@ def test_cached_results_equal_uncached_and_nothing_stays_cached(spark, pairs):
     assert dict(rows(caching.cached_totals(pairs, "value"))) == {
         "count": 10000, "sum": 49995000, "max": 9999,
     }
+    assert plan(caching.cached_totals(pairs, "value")).count("Exchange") == 1
     by_level = caching.totals_by_level(pairs, "value").collect()
     assert {r["level"] for r in by_level} == set(caching.LEVELS)
     assert {tuple(r)[1:] for r in by_level} == {(10000, 49995000, 9999)}
@@ -99,3 +100,6 @@ def test_shared_enrichment(spark):
         ("customer_ltv", "2", 1.5),
         ("product_popularity", "p", 4.0),
     ]
+    # One shuffle for all three results, after partial sums.
+    text = plan(caching.shared_enrichment(sales, products).hint("rebalance"))
+    assert "partial_sum" in text and "InMemory" not in text

@@ -78,6 +78,23 @@ def test_malformed_lines_are_kept_whole(spark):
     assert good.count() == 2 and bad.count() == 3
 
 
+def test_dates_of_another_form_are_kept_and_told(spark, path):
+    texts = ["1,24/12/2024", "2,2024-12-24", "3,31/02/2024", "4,"]
+    schema = "id int, day date"
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    checked = delimited.parse_checked(
+        df, StructType.fromDDL(schema), date_format="dd/MM/yyyy"
+    )
+    good, bad = delimited.split_checked(checked)
+    assert rows(good) == [(1, dt.date(2024, 12, 24)), (4, None)]
+    assert rows(bad) == [("2,2024-12-24",), ("3,31/02/2024",)]
+    df.write.text(path)
+    read = delimited.read_csv(
+        spark, path, StructType.fromDDL(schema), header=False, date_format="dd/MM/yyyy"
+    )
+    assert rows(read) == [(1, dt.date(2024, 12, 24)), (2, None), (3, None), (4, None)]
+
+
 def test_lines_are_parsed_once(spark):
     df = spark.createDataFrame([("1,a,2.0",)], "value string")
     good, _ = delimited.split_checked(delimited.parse_checked(df, CHECKED))
