@@ -43,7 +43,8 @@ NOTICE_PHRASES = {
     "public domain dedication": "cc0",
     "all rights reserved": "proprietary",
 }
-TAG = b"spdx-license-identifier:"
+# What stands before a licence expression. Fixed values.
+TAGS = ("spdx-license-identifier:", "license-expression:", "spdx-license-expression:")
 # Starts of licence identifiers and their labels.
 TAG_FAMILIES = {
     "mit": "mit",
@@ -60,14 +61,17 @@ TAG_FAMILIES = {
     "cc0": "cc0",
     "cc-by": "cc-by",
 }
-# How far a phrase goes to prove a licence: a tag is made for it, a bare name is not.
-NAME_WEIGHT, NOTICE_WEIGHT, TAG_WEIGHT = 0.6, 0.8, 0.95
+# How far evidence goes to prove a licence: a tag is made for it, a bare name is not. A tag that
+# leaves a choice, or asks for terms beside the known ones, says less.
+NAME_WEIGHT, NOTICE_WEIGHT, OPEN_WEIGHT, TAG_WEIGHT = 0.6, 0.8, 0.9, 0.95
+UNKNOWN = "unknown"
 
 # bytes.translate keeps 0-9, a-z and everything beyond ASCII, and blanks the rest.
 _WORD_BYTES = bytes(
     byte if byte >= 0x80 or chr(byte).isalnum() else 0x20 for byte in range(256)
 )
 _PIECE = re.compile(r"[()]|[^\s()]+")
+_LINE = re.compile(rb"[^\r\n]*")
 _BINDING = {"or": 1, "and": 2, "with": 3}
 
 
@@ -120,26 +124,41 @@ def family(identifier: str) -> str | None:
     return None
 
 
-def evaluate(expression: str) -> tuple[set[str], bool]:
-    """Labels that an expression names, and whether it leaves a choice.
+def least(alternatives: set[frozenset[str]]) -> set[frozenset[str]]:
+    """The alternatives without those that ask for all of another one, and more."""
+    kept: list[frozenset[str]] = []
+    for found in sorted(alternatives, key=len):
+        if not any(other <= found for other in kept):
+            kept.append(found)
+    return set(kept)
 
-    ``a or b`` names both and leaves a choice; ``a with x`` names a, for x is an exception.
+
+def evaluate(expression: str) -> set[frozenset[str]]:
+    """The least sets of labels whose terms fulfil an expression, any one of them.
+
+    ``a or b`` is fulfilled by either, ``a and b`` by both only; ``a with x`` by a, for x is an
+    exception. An identifier of no known family is ``unknown``. Nothing readable: no set.
     """
-    stack: list[tuple[set[str], bool]] = []
+    stack: list[set[frozenset[str]]] = []
     for piece in postfix(expression):
-        if piece in _BINDING:
-            if len(stack) < 2:
-                break
-            right, left = stack.pop(), stack.pop()
-            if piece == "with":
-                stack.append(left)
-            else:
-                choice = piece == "or" and left[0] != right[0]
-                stack.append((left[0] | right[0], left[1] or right[1] or choice))
+        if piece not in _BINDING:
+            stack.append({frozenset([family(piece) or UNKNOWN])})
+            continue
+        if len(stack) < 2:
+            break
+        right, left = stack.pop(), stack.pop()
+        if piece == "with":
+            stack.append(left)
+        elif piece == "or":
+            stack.append(least(left | right))
         else:
-            label = family(piece)
-            stack.append(({label} if label else set(), False))
-    return stack[-1] if stack else (set(), False)
+            stack.append(least({one | other for one in left for other in right}))
+    return stack[-1] if stack else set()
+
+
+def shown(alternatives: set[frozenset[str]]) -> str:
+    """Alternatives as text, in order: ``apache and gpl or gpl and mit``."""
+    return " or ".join(sorted(" and ".join(sorted(labels)) for labels in alternatives))
 
 
 class Scanner:
@@ -153,6 +172,21 @@ class Scanner:
             base = phrase in BASE_PHRASES
             self.phrases.add_word(f" {phrase} ", (len(phrase) + 2, label, base))
         self.phrases.make_automaton()
+        self.tags = ahocorasick.Automaton()
+        for tag in TAGS:
+            self.tags.add_word(tag, tag)
+        self.tags.make_automaton()
+
+    def expressions(self, lowered: bytes) -> Iterator[str]:
+        """What follows the tags of a text, to the end of the line."""
+        done = -1
+        for end, _ in self.tags.iter(lowered.decode("latin-1")):
+            # Tags that end alike are found together.
+            if end == done:
+                continue
+            done = end
+            rest = _LINE.match(lowered, end + 1)
+            yield rest[0].decode("utf-8", "replace").strip()
 
     def scan(self, text: bytes) -> tuple:
         lowered = text.lower()
@@ -173,20 +207,16 @@ class Scanner:
                 longest[begin] = max(longest.get(begin, (0, "")), (length, label))
             weight = max(weight, NAME_WEIGHT if is_base else NOTICE_WEIGHT)
         labels = base | {label for _, label in longest.values()}
-        place = lowered.find(TAG)
-        expressions = []
-        while place >= 0:
-            line_end = min(
-                (x for x in (lowered.find(b"\n", place), lowered.find(b"\r", place)) if x >= 0),
-                default=len(lowered),
-            )
-            expression = lowered[place + len(TAG) : line_end].decode("utf-8", "replace").strip()
-            found, _ = evaluate(expression)
-            if found:
-                labels |= found
-                weight = max(weight, TAG_WEIGHT)
+        expressions, choices = [], []
+        for expression in self.expressions(lowered):
+            alternatives = evaluate(expression)
+            named = frozenset().union(*alternatives)
+            if named - {UNKNOWN}:
+                labels |= named - {UNKNOWN}
+                settled = len(alternatives) == 1 and UNKNOWN not in named
+                weight = max(weight, TAG_WEIGHT if settled else OPEN_WEIGHT)
                 expressions.append(" ".join(postfix(expression)))
-            place = lowered.find(TAG, place + len(TAG))
+                choices.append(shown(alternatives))
         # Further kinds of evidence leave less doubt, but never none.
         score = 1 - (1 - weight) * 0.9 ** max(0, len(starts) + len(expressions) - 1)
         return (
@@ -197,6 +227,7 @@ class Scanner:
             sorted(base),
             sorted(labels),
             expressions,
+            choices,
             score if labels else 0.0,
         )
 
@@ -206,18 +237,19 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     ``n_words``; ``n_base``, ``first_word``, ``last_word``: places of the base phrases;
     ``base_labels`` and ``labels``: arrays, sorted; ``expressions``: tag expressions in postfix
-    order; ``score``: 0 to 1, 0 without any label. A NULL or empty text has no words, no places
+    order; ``choices``: what each comes to, the least sets of labels that fulfil it; ``score``: 0
+    to 1, 0 without any label, less where a tag leaves a choice. A NULL or empty text has no words, no places
     (NULL) and no labels. Overlapping phrases all count.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = with_fields(
         rows.select("id").schema,
         "n_words long, n_base long, first_word long, last_word long, base_labels array<string>, "
-        "labels array<string>, expressions array<string>, score double",
+        "labels array<string>, expressions array<string>, choices array<string>, score double",
     )
     arrow = [
         *[pa.int64()] * 4,
-        *[pa.list_(pa.string())] * 3,
+        *[pa.list_(pa.string())] * 4,
         pa.float64(),
     ]
 

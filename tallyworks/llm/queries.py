@@ -161,6 +161,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("base_labels", ",").alias("base_labels"),
         F.array_join("labels", ",").alias("labels"),
         F.array_join("expressions", ";").alias("expressions"),
+        F.array_join("choices", ";").alias("choices"),
         "score",
     )
 
