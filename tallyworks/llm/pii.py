@@ -38,6 +38,10 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # Shapes that only propose.
+_CARD_GROUPS = re.compile(
+    r"(?<![0-9])(?:[0-9]{4}([\x20-]?)[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([\x20-])[0-9]{6}\2[0-9]{5})"
+    r"(?![0-9])"
+)
 _SPELLED_SIGN = re.compile(
     r" ?(?:\(at\)|\[at\])(?= ?([A-Za-z0-9-]++(?: ?(?:\(dot\)|\[dot\]|\.) ?[A-Za-z0-9-]++)++))"
 )
@@ -104,6 +108,19 @@ def _spelled_emails(text: str) -> Iterator[tuple[int, int]]:
             yield start, done
 
 
+def _grouped_cards(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Numbers written in the groups of a card that pass the checksum, inside a run of digits.
+
+    So cards are told apart that stand side by side, or beside another number.
+    """
+    while found := _CARD_GROUPS.search(text, start, end):
+        if luhn(_digits(found[0])):
+            yield found.span()
+            start = found.end()
+        else:
+            start = found.start() + 1
+
+
 def _is_ip(text: str) -> bool:
     parts = (part.lstrip("0") for part in text.split("."))
     return all(len(part) <= 3 and int(part or "0") <= 255 for part in parts)
@@ -177,8 +194,11 @@ def propose(text: str) -> list[Span]:
             digits = _digits(found[0])
             if 16 <= len(digits) <= 19 and luhn(digits):
                 base["card"].append(found.span())
-            elif 14 <= len(digits) <= 19:
-                loose.append(("card", *found.span()))
+                continue
+            inside = list(_grouped_cards(text, *found.span())) if len(digits) > 16 else []
+            if not inside and 14 <= len(digits) <= 19:
+                inside = [found.span()]
+            loose += [("card", *span) for span in inside]
         if "+" in text:
             for found in _PHONE.finditer(text):
                 if 8 <= len(_digits(found[0])) <= 15:
@@ -354,7 +374,10 @@ def masked(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
 
     Overlapping spans become one, named after the first. Texts without spans stay as they are.
     """
-    found = detect(docs, text_col=text_col, out="_spans")
+    spare = "_spans"
+    while spare in map(str.lower, docs.columns):
+        spare += "_"
+    found = detect(docs, text_col=text_col, out=spare)
     place = docs.columns.index(text_col)
     size = len(docs.columns)
 
