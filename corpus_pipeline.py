@@ -8,7 +8,28 @@ from pyspark.sql import functions as F
 from tallyworks.llm import bpe, decontaminate, languages, pii, simhash
 from tallyworks.llm.common import documents, text_settings
 from tallyworks.llm.queries import WORD_BPE
-from tallyworks.session import keep_table
+from tallyworks.session import work_path
+
+# Whole texts on the way between Spark and Python, in one batch; rows that a scan decodes at
+# once; a row group of what a stage hands on. All are held once for each running task.
+BATCH_BYTES = 2 << 20
+SCAN_ROWS = 512
+ROW_GROUP_BYTES = 16 << 20
+
+
+def _settings(spark: SparkSession) -> None:
+    """Settings of the operators, with less held at once: five of them share a process."""
+    text_settings(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
+
+
+def _kept(docs: DataFrame) -> DataFrame:
+    """A stage's result, written to the shared folder and read again."""
+    spark = docs.sparkSession
+    path = work_path(spark, "stage")
+    docs.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
+    return spark.read.schema(docs.schema).parquet(path)
 
 
 def _unused(docs: DataFrame, name: str) -> str:
@@ -25,7 +46,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     NULL and empty texts have no letter and go; of two languages that fit alike the first in
     the alphabet counts. With no learned language all go. Rows that repeat fare alike.
     """
-    text_settings(spark)
+    _settings(spark)
     found = languages.identify(docs, languages.learn(docs))
     foreign = (F.col("score") < languages.LEAST_COSINE) & (
         F.length("text") >= languages.LEAST_CHARS
@@ -40,7 +61,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows are told apart by their place in the scan, so rows that repeat are one group, and rows
     with one id but different texts are not. A NULL id comes after all others.
     """
-    text_settings(spark)
+    _settings(spark)
     number = _unused(docs, "row")
     numbered = docs.withColumn(number, F.monotonically_increasing_id())
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col(number).alias("row"))
@@ -56,7 +77,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     NULL and empty texts hold no item and stay; so do all where the benchmark is empty. Rows
     that repeat are judged alike, whatever their ids.
     """
-    text_settings(spark)
+    _settings(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     found = decontaminate.contaminated(docs, benchmark).select("row").distinct()
     number = _unused(docs, "row")
@@ -71,13 +92,13 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     ``n_chars`` becomes the length of the new text, NULL where that is NULL.
     """
-    text_settings(spark)
+    _settings(spark)
     return pii.masked(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the texts, and the texts as the ids decode: none, and "", for NULL and empty."""
-    text_settings(spark)
+    _settings(spark)
     rows = docs.select("doc_id", "lang", "source", "text")
     return bpe.encode(rows, WORD_BPE, decoded="decoded").select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded"
@@ -102,5 +123,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if number + 1 < len(STAGES):
-            docs = keep_table(docs)
+            docs = _kept(docs)
     return docs

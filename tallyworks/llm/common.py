@@ -64,6 +64,8 @@ def per_worker(key: Any, make: Callable[[], Any]) -> Any:
             return_memory()
         store["value"] = make()
         store["key"] = key
+        # What was read and parsed to make it.
+        return_memory()
     return store["value"]
 
 
