@@ -267,6 +267,75 @@ def test_suffix_tree_beats_the_base_on_held_out_texts(spark):
     assert score > base
 
 
+def plain_tree_scores(texts, trains):
+    """Scores by the definition, with runs of words as tuples."""
+    tokens = [[*(text or "").encode().lower().split(), "end"] for text in texts]
+    counts = [collections.Counter() for _ in range(pst.DEPTH + 1)]
+    words = collections.Counter(t for row, train in zip(tokens, trains) if train for t in row)
+    ends = sum(trains)
+    kinds = len(words) - (ends > 0)
+    new = max(1, kinds)
+    runs, sizes = collections.Counter(), collections.Counter()
+    for row, train in zip(tokens, trains):
+        padded = ["end"] * pst.DEPTH + row
+        for at in range(pst.DEPTH, len(padded)):
+            for depth in range(1, pst.DEPTH + 1):
+                runs[tuple(padded[at - depth : at + 1])] += train
+                sizes[tuple(padded[at - depth : at])] += train
+
+    def smoothed(run, shorter):
+        size = sizes[run[:-1]]
+        weight = pst.SMOOTHING * size**pst.GROWTH
+        return (runs[run] + weight * shorter) / (size + weight)
+
+    kept = set()
+
+    def chance(run):
+        if len(run) == 1:
+            return (words[run[0]] or new) / (sum(words.values()) + new)
+        shorter = chance(run[1:])
+        return smoothed(run, shorter) if run[:-1] in kept else shorter
+
+    for depth in range(1, pst.DEPTH + 1):
+        gains = collections.Counter()
+        for run, n in runs.items():
+            if len(run) == depth + 1 and n and sizes[run[:-1]] >= pst.LEAST_COUNT:
+                shorter = chance(run[1:])
+                gains[run[:-1]] += n * math.log2(smoothed(run, shorter) / shorter)
+        kept |= {run for run, gain in gains.items() if gain >= pst.LEAST_DIVERGENCE}
+    scores = []
+    for row in tokens:
+        padded = ["end"] * pst.DEPTH + row
+        each = [tuple(padded[at : at + pst.DEPTH + 1]) for at in range(len(row))]
+        scores.append(sum(math.log10(chance(run)) for run in each))
+    return scores, kept
+
+
+def test_every_word_is_a_symbol_of_the_suffix_tree(spark, tmp_path, monkeypatch):
+    draw = random.Random(11)
+    # Pairs of rare words that stand together, far beyond 254 words, and a frequent word.
+    pairs = [(f"left{i}", f"right{i}", f"Third{i}") for i in range(500)]
+    texts = [
+        " ".join(" ".join(draw.choice(pairs)) + " the" * draw.randrange(3) for _ in range(40))
+        for _ in range(300)
+    ]
+    texts += [None, "", "left1 right1 never right2", "the the the"]
+    trains = [at % 7 != 2 for at in range(len(texts))]
+    path = str(tmp_path / "docs")
+    rows = [(at, text, train) for at, (text, train) in enumerate(zip(texts, trains))]
+    spark.createDataFrame(rows, "doc_id long, text string, learn boolean").coalesce(1).write.parquet(path)
+    # Many chunks and buckets, so that contexts meet from several chunks, and "the" is spread.
+    monkeypatch.setattr(pst, "CHUNK_BYTES", 20_000)
+    monkeypatch.setattr(pst, "BUCKET_BYTES", 10_000)
+    found = pst.score(spark.read.parquet(path), F.col("learn")).collect()
+    expected, kept = plain_tree_scores(texts, trains)
+    assert {len(run) for run in kept} >= {1, 2} and len(kept) > 500
+    got = {r.id: r.score for r in found}
+    assert all(math.isclose(got[at], want, rel_tol=1e-6) for at, want in enumerate(expected))
+    # A rare word foretells the next one.
+    assert got[302] > -16 and len(got) == len(texts)
+
+
 def test_states_are_the_longest_kept_suffix():
     import numpy as np
 
