@@ -2,35 +2,30 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of one step: (x * 1.1 + 0.5) / 1.05
 GAIN, SHIFT, DIVISOR = 1.1, 0.5, 1.05
 
-# Values that take all steps together; they stay in the processor's cache.
-_TOGETHER = 4096
+# Steps that one call of the lambda takes; a call costs more than a step.
+_UNROLLED = 20
+
+
+def _steps(value: Column, count: int) -> Column:
+    for _ in range(count):
+        value = (value * GAIN + SHIFT) / DIVISOR
+    return value
 
 
 def affine_steps(x: Column, steps: int = 1000) -> Column:
-    """Apply ``(x * 1.1 + 0.5) / 1.05`` to every row ``steps`` times, step by step.
-
-    A batch of rows takes each step at once; a lambda called row by row takes about a
-    microsecond a step.
-    """
-
-    def work(values: pa.Array) -> pa.Array:
-        found = values.fill_null(0.0).to_numpy(zero_copy_only=False).copy()
-        with np.errstate(all="ignore"):
-            for at in range(0, len(found), _TOGETHER):
-                part = found[at : at + _TOGETHER]
-                for _ in range(steps):
-                    part *= GAIN
-                    part += SHIFT
-                    part /= DIVISOR
-        missing = values.is_null().to_numpy(zero_copy_only=False)
-        return pa.array(found, pa.float64(), mask=missing)
-
-    return F.arrow_udf(work, "double")(x.cast("double"))
+    """Apply ``(x * 1.1 + 0.5) / 1.05`` to every row ``steps`` times, step by step."""
+    calls, rest = divmod(steps, _UNROLLED)
+    value = x.cast("double")
+    if calls:
+        value = F.aggregate(
+            F.sequence(F.lit(1), F.lit(calls)),
+            value,
+            lambda value, _: _steps(value, _UNROLLED),
+        )
+    return _steps(value, rest)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyworks.functions.money import money_sum
 from tallyworks.functions.numeric import affine_steps
 from tallyworks.operators.aggregates import number_totals, revenue_enrich
-from tallyworks.session import cut_lineage
+from tallyworks.session import cut_lineage, spread_evenly
 
 LEVELS = {
     "MEMORY_ONLY": StorageLevel.MEMORY_ONLY,
@@ -104,7 +104,7 @@ def cleaned(df: DataFrame, x: str) -> DataFrame:
 
 
 def enriched(clean: DataFrame, steps: int = 1000) -> DataFrame:
-    return clean.select(affine_steps(F.col("x"), steps).alias("y"))
+    return spread_evenly(clean).select(affine_steps(F.col("x"), steps).alias("y"))
 
 
 def enriched_totals(rows: DataFrame) -> DataFrame:

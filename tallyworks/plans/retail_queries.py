@@ -16,6 +16,7 @@ from tallyworks.operators import aggregates, filters, joins, projections, qualit
 from tallyworks.plans.registry import query
 from tallyworks.plans.tables import PAYMENTS, TABLE_SQL, UNMATCHED_SEGMENT, Tables
 from tallyworks.schemas import PAYMENT_METHODS
+from tallyworks.session import spread_evenly
 from tallyworks.sources.inline import inline_table, status_descriptions
 
 SEGMENT = "HOUSEHOLD"
@@ -188,7 +189,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     y = affine_steps(F.col("productCode"))
-    return t.products().select("productCode", F.round(F.log10(y), 9).alias("log10_y"))
+    codes = spread_evenly(t.products().select("productCode"))
+    return codes.select("productCode", F.round(F.log10(y), 9).alias("log10_y"))
 
 
 @query(

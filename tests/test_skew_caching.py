@@ -85,6 +85,14 @@ def test_cache_points_give_one_result(pairs):
         caching.clean_enrich(pairs, "value", "nowhere")
 
 
+def test_costly_steps_are_spread_over_tasks(spark):
+    one_split = spark.range(900).coalesce(1)
+    clean = caching.cleaned(one_split, "id")
+    parts = caching.enriched(clean, 3).select(F.spark_partition_id().alias("part"))
+    sizes = [r["count"] for r in parts.groupBy("part").count().collect()]
+    assert len(sizes) > 1 and max(sizes) <= 2 * min(sizes) + 2
+
+
 def test_shared_enrichment(spark):
     sales = spark.createDataFrame(
         [(1, "p", 3.0), (2, "p", 1.0)],
