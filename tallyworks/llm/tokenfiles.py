@@ -29,15 +29,27 @@ ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 # Text that one task encodes, sorts and writes.
 PART_BYTES = 24 << 20
-# Words, and letter runs in them, that each Python worker keeps with their ids; twice as many
-# until those of the time before go.
-CACHED_WORDS = 250_000
-
-# Letters of one byte, or of two in the Latin-1 block, and ASCII marks after them. The
-# vocabulary never joins the two, and NFC changes neither.
-_PLAIN = regex.compile(
-    rb"((?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+)([!#-&(-/:;=?@\[-`{}~]*)"
-)
+# Parts of words that each Python worker keeps with their ids; twice as many until those of the
+# time before go.
+CACHED_PARTS = 500_000
+# Text whose different parts are looked up together.
+BLOCK_BYTES = 4 << 20
+
+# A run of plain letters: of one byte, or of two in the Latin-1 block. NFC changes none.
+_LETTERS = regex.compile(rb"(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+")
+
+# Kinds of bytes. An apostrophe may start a part with the letters behind it, and special tokens
+# stand in angle brackets, so words with these count as odd, like those with bytes beyond Latin-1.
+_SPACE, _LETTER, _MARK, _DIGIT, _ODD = range(5)
+_KINDS = np.full(256, _ODD, np.uint8)
+_KINDS[list(b" \t\n\v\f\r")] = _SPACE
+_KINDS[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")] = _MARK
+_KINDS[np.r_[0x30:0x3A]] = _DIGIT
+_KINDS[np.r_[0x41:0x5B, 0x61:0x7B]] = _LETTER
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+# Second bytes of letters in the Latin-1 block, behind 0xC3.
+_LATIN = np.zeros(256, bool)
+_LATIN[np.r_[0x80:0x97, 0x98:0xB7, 0xB8:0xC0]] = True
 
 
 def packed(ids: list[int]) -> bytes:
@@ -45,70 +57,123 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def parts(data: bytes) -> tuple[pa.Array, np.ndarray]:
+    """The words of a text cut where letters, marks and digits meet, letters lower-cased.
+
+    Odd words stay as they are. Beside the parts the places in ``data`` where they start.
+    """
+    text = np.frombuffer(data, np.uint8)
+    kinds = _KINDS[text]
+    lead = np.flatnonzero(text[:-1] == 0xC3)
+    lead = lead[_LATIN[text[lead + 1]]]
+    kinds[lead] = kinds[lead + 1] = _LETTER
+    lowered = _LOWER[text]
+    second = lead[text[lead + 1] < 0x9F] + 1
+    lowered[second] |= 0x20
+    odd = np.flatnonzero(kinds == _ODD)
+    if len(odd):
+        spaces = np.flatnonzero(kinds == _SPACE)
+        at = np.unique(np.searchsorted(spaces, odd))
+        edges = np.concatenate(([-1], spaces, [len(text)]))
+        turns = np.zeros(len(text) + 1, np.int8)
+        turns[edges[at] + 1] = 1
+        turns[edges[at + 1]] -= 1
+        whole = np.flatnonzero(np.cumsum(turns[:-1], dtype=np.int8))
+        kinds[whole] = _ODD
+        lowered[whole] = text[whole]
+    filled = kinds != _SPACE
+    first = filled.copy()
+    first[1:] &= kinds[1:] != kinds[:-1]
+    lowered = lowered[filled]
+    offsets = np.append(np.flatnonzero(first[filled]), len(lowered)).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(lowered)]
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers), np.flatnonzero(first)
+
+
 class LibraryIds(dict):
-    """Ids of words between white space as little-endian bytes, from the tokenizers library.
+    """Ids of parts of words as little-endian bytes, from the tokenizers library.
 
-    No token reaches over white space, so a text's ids are those of its words in turn. A word
-    of plain letters and marks goes to the library's merges alone, all others through its
-    whole pipeline.
+    No token reaches over white space, nor from letters to marks or digits, so a text's ids are
+    those of its parts in turn. Plain letters go to the library's merges alone, all others
+    through its whole pipeline. The different parts of a block of texts are looked up, once each.
     """
 
     def __init__(self, file_text: str) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_str(file_text)
         self.model = self.tokenizer.model
-        self.cores: dict[bytes, bytes] = {}
-        # What was known before the last time the caches were full: words in use come back.
-        self.old_words: dict[bytes, bytes] = {}
-        self.old_cores: dict[bytes, bytes] = {}
+        # What was known before the last time the cache was full: parts in use come back.
+        self.old: dict[bytes, bytes] = {}
         shown = self.tokenizer.pre_tokenizer[1].pre_tokenize_str
         self.symbols = {
             byte: shown(bytes([0xC3, byte]).decode())[0][0][1] for byte in range(0x80, 0xC0)
         }
         self.symbols[0xC3] = shown("é")[0][0][0]
 
-    def whole(self, word: bytes) -> bytes:
-        encoding = self.tokenizer.encode(word.decode(), add_special_tokens=False)
+    def whole(self, part: bytes) -> bytes:
+        encoding = self.tokenizer.encode(part.decode(), add_special_tokens=False)
         return packed(encoding.ids)
 
-    def letters(self, core: bytes) -> bytes:
-        found = self.cores.get(core)
-        if found is None:
-            found = self.old_cores.get(core)
-            if found is None:
-                text = core.decode()
-                if not text.isascii():
-                    text = text.lower().encode().decode("latin-1").translate(self.symbols)
-                found = packed([token.id for token in self.model.tokenize(text)])
-            self.cores[core] = found
-        return found
+    def letters(self, part: bytes) -> bytes:
+        text = part.decode().lower()
+        if not part.isascii():
+            text = text.encode().decode("latin-1").translate(self.symbols)
+        return packed([token.id for token in self.model.tokenize(text)])
 
-    def __missing__(self, word: bytes) -> bytes:
-        if (found := self.old_words.get(word)) is not None:
-            pass
-        elif word.isalpha():  # of bytes: A-Z and a-z only
-            found = self.letters(word.lower())
-        elif (plain := _PLAIN.fullmatch(word)) is None:
-            found = self.whole(word)
-        else:
-            core, marks = plain.groups()
-            found = self.letters(core.lower())
-            if marks:
-                found += self[marks]
-        if len(word) <= 64:
-            self[word] = found
+    def __missing__(self, part: bytes) -> bytes:
+        found = self.old.get(part)
+        if found is None:
+            # Of bytes: A-Z and a-z only.
+            plain = part.isalpha() or _LETTERS.fullmatch(part)
+            found = self.letters(part) if plain else self.whole(part)
+        if len(part) <= 64:
+            self[part] = found
         return found
 
     def of(self, text: bytes) -> bytes:
-        parts = []
-        for piece in pieces(text):
-            parts += map(self.__getitem__, piece.split())
-            if len(self) > CACHED_WORDS:
-                self.old_words = dict(self)
-                self.clear()
-            if len(self.cores) > CACHED_WORDS:
-                self.old_cores, self.cores = self.cores, {}
-        return b"".join(parts)
+        return self.all_of([text])[0].tobytes()
+
+    def all_of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each text has."""
+        found, sizes = [], np.zeros(len(texts), np.int64)
+        block, owners, held = [], [], 0
+
+        def settle() -> None:
+            ids, counts = self._block(block)
+            found.append(ids)
+            np.add.at(sizes, owners, counts)
+
+        for at, text in enumerate(texts):
+            for piece in pieces(text):
+                if block and held + len(piece) > BLOCK_BYTES:
+                    settle()
+                    block, owners, held = [], [], 0
+                block.append(piece)
+                owners.append(at)
+                held += len(piece) + 1
+        if block:
+            settle()
+        return np.concatenate(found) if found else np.zeros(0, "<i4"), sizes
+
+    def _block(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found, starts = parts(b"\n".join(texts))
+        coded = found.dictionary_encode()
+        _, bounds, data = coded.dictionary.buffers()
+        data = data.to_pybytes()
+        bounds = np.frombuffer(bounds, np.int32, len(coded.dictionary) + 1).tolist()
+        known = [self[data[low:high]] for low, high in zip(bounds, bounds[1:])]
+        if len(self) > CACHED_PARTS:
+            self.old = dict(self)
+            self.clear()
+        ends = np.cumsum([0, *map(len, known)]) // 4
+        each = pa.ListArray.from_arrays(
+            pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(known), "<i4"))
+        )
+        ids = each.take(coded.indices)
+        # Where the parts of each text end.
+        cuts = np.searchsorted(starts, np.cumsum([len(text) + 1 for text in texts]))
+        counts = np.diff(ids.offsets.to_numpy()[cuts], prepend=0)
+        return ids.values.to_numpy(), counts
 
 
 def encode(
@@ -126,7 +191,6 @@ def encode(
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
-    end = np.array([end_id], "<u4").tobytes()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = with_fields(
         rows.select("doc_id").schema, "n_tokens long, part int, offset long, ids array<int>"
@@ -137,12 +201,12 @@ def encode(
         words = per_worker(key, lambda: LibraryIds(shared.value))
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            found = [words.of(text) + end for text in utf8_texts(batch.column(1))]
-            sizes = np.array([len(ids) // 4 for ids in found], np.int64)
+            ids, sizes = words.all_of(utf8_texts(batch.column(1)))
+            ids = np.insert(ids, np.cumsum(sizes), end_id)
+            sizes += 1
             ends = np.cumsum(sizes)
             ids = pa.ListArray.from_arrays(
-                pa.array(np.concatenate(([0], ends)).astype(np.int32)),
-                pa.array(np.frombuffer(b"".join(found), "<i4")),
+                pa.array(np.concatenate(([0], ends)).astype(np.int32)), pa.array(ids)
             )
             columns = [
                 batch.column(0),

@@ -183,6 +183,21 @@ def test_bpe_on_random_words(library):
         assert ids.of(text.encode()) == b"".join(i.to_bytes(4, "little") for i in expected)
 
 
+def test_token_parts_are_looked_up_once(library):
+    """Case, marks and digits beside a word make no new word of it."""
+    ids = tokenfiles.LibraryIds(bpe.read_vocabulary(WORD_BPE))
+    asked, letters, whole = [], ids.letters, ids.whole
+    ids.letters = lambda part: asked.append(part) or letters(part)
+    ids.whole = lambda part: asked.append(part) or whole(part)
+    texts = ["The the, THE. (the) the-the the12the", "", "Été été! ÉTÉ ß ×the don't", "the <|endoftext|>THE"]
+    found, sizes = ids.all_of([text.encode() for text in texts])
+    expected = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert sizes.tolist() == list(map(len, expected))
+    assert found.tolist() == sum(expected, [])
+    assert len(asked) == len(set(asked))
+    assert [part for part in asked if b"the" in part.lower()] == [b"the", "×the".encode(), b"<|endoftext|>THE"]
+
+
 def test_personal_data(odd, texts, empty):
     found = pii.detect(odd)
     spans = {r.doc_id: r.spans for r in found.collect()}
