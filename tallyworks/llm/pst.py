@@ -6,22 +6,24 @@ if it comes ``LEAST_COUNT`` times and its next words diverge from those after it
 shorter. A word is scored in the state of the longest suffix that the tree has; distributions are
 smoothed with those of the shorter states, at last with add-one word frequencies.
 
-The tree is never in one place. A chunk of documents asks, depth by depth, for the counts of its
-own words and runs of words: it sends each different one once to the bucket of its context, where
-the counts of all chunks meet and the context is tested, and gets back the corpus-wide counts and
-whether the context is kept. No number of words, contexts or entries is bounded; chunks and buckets
-have about the same size whatever the corpus, and the entries of a context too frequent for one
-bucket go to all of them, its divergence being summed from there. Words are counted as they are
-written; runs of words go by 64-bit hashes.
+The tree is never in one place. A chunk of documents sends each of its different words once to the
+word's bucket, where the counts of all chunks meet, and gets back corpus-wide counts and numbers.
+Then it sends its tokens to the bucket of the word before them, once for all depths: as all tokens
+after that word meet there, its contexts of one and of two words are tested and the tokens scored
+on the spot. What comes back are sums for each text; no run of words goes to and fro. Runs that
+start with a word too frequent for one bucket are counted by their next word, along with the words;
+its tokens are then dealt out by two words of context, and where these are too frequent as well, by
+all three words: divergences are summed over the buckets, and texts have their sums for both
+outcomes. No number of words, contexts or entries is bounded; chunks and buckets have about the
+same size whatever the corpus. Words are counted as they are written and go by their numbers.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,7 +38,7 @@ from tallyworks.llm.common import crc_remainder, pieces, utf8_texts, with_fields
 from tallyworks.session import keep_table
 
 END = 1
-# Words of a context, at most: the order of the model. A third word changed the perplexity of
+# Words of a context, at most: the order of the model, which the flow of data is made for. A third word changed the perplexity of
 # held-out texts from 1,361 to 1,325 on sf0.1, and a fourth to 1,324.
 DEPTH = 2
 # A context is kept if it comes so often in the training texts, and if the divergence of its next
@@ -50,11 +52,19 @@ GROWTH = 0.75
 
 # Text whose words are looked up together, and text for each bucket of counts.
 CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 4 << 20
-# Contexts with more than this part of a bucket's share of all positions are spread.
+BUCKET_BYTES = 8 << 20
+# Contexts with more than this part of a bucket's share of all positions are spread; frequent words
+# are seen in this part of the texts, or in so many bytes.
 SPREAD_PART = 1 / 4
+SAMPLE_PART = 1 / 100
+SAMPLE_BYTES = 8 << 20
 
-_ENDS = np.uint64(0x9E3779B97F4A7C15)
+# The end mark among words, none of which has capitals.
+END_WORD = b"END"
+# Logarithms are summed as whole numbers, so many to the unit.
+LOG_UNIT = 2.0**24
+# Planes of bytes of so many rows are compressed one by one, as their bytes differ in kind.
+PLANE_ROWS = 1024
 
 
 def grams(texts: list[bytes]) -> np.ndarray:
@@ -150,14 +160,34 @@ class _Corpus:
     """What every chunk and bucket knows of the corpus."""
 
     buckets: int
-    ends: int
+    # Words after which runs are counted together with the words, END_WORD among them.
+    frequent: dict[bytes, int]
     tokens: int = 0
     different: int = 0
-    # By depth: the kept ones among the spread contexts.
-    spread: tuple[np.ndarray, ...] = ()
-
-    def is_spread(self, sizes: np.ndarray) -> np.ndarray:
-        return sizes * self.buckets > self.tokens * SPREAD_PART
+    ends: int = 0
+    # Of the frequent words: numbers, training counts, and whether they are kept as contexts.
+    ids: np.ndarray | None = None
+    sizes: np.ndarray | None = None
+    kept: np.ndarray | None = None
+    # Pairs of them that are too frequent a context for one bucket, ascending; their counts.
+    hot: np.ndarray | None = None
+    hot_sizes: np.ndarray | None = None
+
+    def chances(self, counts: np.ndarray) -> np.ndarray:
+        """Chances of words without a context; unseen ones share a part, by how often new ones came."""
+        new = max(1, self.different)
+        return np.where(counts > 0, counts, new) / (self.tokens + new)
+
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """Places of words among the frequent ones, or -1."""
+        order = np.argsort(self.ids)
+        at = _find(self.ids[order], ids)
+        return np.where(at >= 0, order[at], -1)
+
+    def hot_pair(self, older: np.ndarray, newer: np.ndarray) -> np.ndarray:
+        """Places of pairs of frequent words, given by their places, among the hot ones, or -1."""
+        at = _find(self.hot, older * len(self.ids) + newer)
+        return np.where((older >= 0) & (newer >= 0), at, -1)
 
 
 class _Numbers(dict):
@@ -168,22 +198,26 @@ class _Numbers(dict):
         return number
 
 
-def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The hash of a run of words from those of its front part and of its last word."""
-    mixed = (left ^ (left >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + right
-    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
-    return mixed ^ (mixed >> np.uint64(31))
-
-
 def _smoothed(counts: np.ndarray, sizes: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     """Chances of words after a context that comes ``sizes`` times, from their counts there."""
     weight = SMOOTHING * sizes**GROWTH
     return (counts + weight * shorter) / (sizes + weight)
 
 
-def _gains(counts: np.ndarray, sizes: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+def _gains(counts: np.ndarray, longer: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     """Bits that the longer state saves over all occurrences of a word after a context."""
-    return counts * np.log2(_smoothed(counts, sizes, shorter) / shorter)
+    return counts * np.log2(longer / shorter)
+
+
+def _fixed(chances: np.ndarray) -> np.ndarray:
+    """Minus log10 of chances as whole numbers, whose sums do not depend on any order."""
+    return np.rint(np.log10(chances) * -LOG_UNIT).astype(np.int64)
+
+
+def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    mixed = (left ^ (left >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + right
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
+    return mixed ^ (mixed >> np.uint64(31))
 
 
 def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -198,215 +232,221 @@ def _cuts(sorted_keys: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], changes, [len(sorted_keys)]))
 
 
-def _array(column: pa.ChunkedArray, kind: str, packed: bool = False) -> np.ndarray:
-    """The numbers in the bytes of all rows, one after the other."""
-    rows = column.to_pylist()
-    return np.frombuffer(b"".join(map(zlib.decompress, rows) if packed else rows), kind)
-
-
-@dataclass
-class _Asked:
-    """The different runs of words of a chunk, by context; which are looked up in which bucket.
-
-    What the chunk can tell by itself is not asked: all about a context that no other chunk has,
-    in training texts or others; the count of a run of which no other has the last words, or of
-    which no training text has them.
-    """
-
-    grams: np.ndarray
-    counts: np.ndarray
-    chances: np.ndarray
-    # Which context each run has; the contexts with their counts, and the known gain of each.
-    owner: np.ndarray
-    contexts: np.ndarray
-    sizes: np.ndarray
-    gains: np.ndarray
-    whole: np.ndarray
-    # Places of the tokens that ask, and which of the runs each asks for.
-    places: np.ndarray
-    of: np.ndarray
-    # Lookups, by bucket: contexts (one and the same in several, if spread) and runs of each.
-    bucket: np.ndarray
-    heads: np.ndarray
-    runs: np.ndarray
-    entries: np.ndarray
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each key the number of its group, ascending by key; and a place of each group."""
+    order = np.argsort(keys)
+    cuts = _cuts(keys[order])
+    of = np.empty(len(keys), np.int64)
+    of[order] = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    return of, order[cuts[:-1]]
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers from 0 on as planes of their bytes, compressed."""
+    head, blocks, rest = [], [], []
+    for column in columns:
+        column = np.ascontiguousarray(column, "<i8")
+        width = (int(column.max(initial=0)).bit_length() + 7) // 8
+        planes = column.view(np.uint8).reshape(-1, 8)[:, :width].T
+        if len(column) < PLANE_ROWS:
+            rest.append(planes.tobytes())
+        else:
+            blocks += [plane.tobytes() for plane in planes]
+        head += [len(column), width]
+    blocks.append(b"".join(rest))
+    packed = [pa.compress(block, codec="zstd", asbytes=True) if block else b"" for block in blocks]
+    head = [len(columns), *head, *map(len, packed)]
+    return np.array(head, "<i8").tobytes() + b"".join(packed)
+
+
+def _unpack(data: bytes) -> list[np.ndarray]:
+    count = int(np.frombuffer(data, "<i8", 1)[0])
+    head = np.frombuffer(data, "<i8", 2 * count, 8).reshape(-1, 2).tolist()
+    sizes = [n for n, width in head if n >= PLANE_ROWS for _ in range(width)]
+    sizes.append(sum(n * width for n, width in head if n < PLANE_ROWS))
+    at = 8 + 16 * count
+    lengths = np.frombuffer(data, "<i8", len(sizes), at).tolist()
+    at += 8 * len(sizes)
+    blocks = []
+    for size, length in zip(sizes, lengths):
+        block = data[at : at + length]
+        block = pa.decompress(block, size, codec="zstd", asbytes=True) if size else b""
+        blocks.append(np.frombuffer(block, np.uint8))
+        at += length
+    found, rest, block = [], 0, 0
+    for n, width in head:
+        column = np.zeros((n, 8), np.uint8)
+        for byte in range(width):
+            if n < PLANE_ROWS:
+                column[:, byte] = blocks[-1][rest : rest + n]
+                rest += n
+            else:
+                column[:, byte] = blocks[block]
+                block += 1
+        found.append(column.reshape(-1).view("<i8"))
+    return found
+
+
+def _unpacked(rows: pa.ChunkedArray) -> list[np.ndarray]:
+    """The columns of all rows, one after the other."""
+    return [np.concatenate(parts) for parts in zip(*map(_unpack, rows.to_pylist()))]
 
 
 class _Chunk:
-    """The tokens of some texts, and what is known of each at the depth reached.
+    """The tokens of some texts, by the place of their word among the different ones.
 
-    ``grams``: hash of the word and as many before it; ``counts``: how often that comes in the
-    training texts, 0 where it is too rare to matter; ``chances``: of the word after the others;
-    ``alone``: whether no other chunk has that run.
-    Nothing that is asked depends on the order of the texts.
+    Words stand by bucket, and in it in an order that the texts' order does not change.
     """
 
     def __init__(self, texts: list[bytes], trains: np.ndarray, corpus: _Corpus) -> None:
         self.corpus = corpus
         numbers = _Numbers()
+        end = numbers[END_WORD]
         found, sizes = [], np.ones(len(texts), np.int64)
         for at, text in enumerate(texts):
             for piece in pieces(text):
                 words = piece.lower().split()
                 found.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
                 sizes[at] += len(words)
-            found.append(np.full(1, -1, np.int32))
+            found.append(np.full(1, end, np.int32))
         words = list(numbers)
-        hashes = np.zeros(0, np.uint64)
-        if words:
-            hashes = pd.util.hash_array(np.array(words, object), categorize=False)
+        hashes = pd.util.hash_array(np.array(words, object), categorize=False)
         bucket = _bucket_of(hashes, corpus.buckets)
         places = np.lexsort((hashes, bucket))
         if (np.diff(hashes[places].view(np.int64)) == 0).any():
             places = np.array(sorted(range(len(words)), key=lambda at: (bucket[at], words[at])))
-        # By bucket, and in it in an order that the texts' order does not change.
         self.words = [words[at] for at in places.tolist()]
         self.hashes, self.bucket = hashes[places], bucket[places]
-        # The end mark comes behind all words.
-        rank = np.empty(len(numbers) + 1, np.int32)
-        rank[places] = np.arange(len(numbers))
-        rank[-1] = len(numbers)
-        self.at = rank[np.concatenate(found)] if found else np.zeros(0, np.int32)
+        rank = np.empty(len(words), np.int32)
+        rank[places] = np.arange(len(words))
+        self.at, self.end = rank[np.concatenate(found)], int(rank[end])
         self.sizes = sizes
         self.starts = np.cumsum(sizes) - sizes
         self.trains = np.repeat(trains, sizes)
-        self.depth = 0
-        self.start = np.array([_ENDS])
+        self.newer = self._before(self.at)
+        # The runs of a frequent word and the next one, by the next one: which tokens have one,
+        # and the number of its run.
+        place = corpus.frequent
+        self.place = np.fromiter((place.get(word, -1) for word in self.words), np.int64, len(words))
+        after = self.place[self.newer]
+        self.followers = np.flatnonzero(after >= 0)
+        keys = self.at[self.followers].astype(np.int64) * len(place) + after[self.followers]
+        self.pair_of, first = _grouped(keys)
+        self.pairs = keys[first]
+
+    def _before(self, values: np.ndarray) -> np.ndarray:
+        """For each token the word before it; what lies before a text reads as end marks."""
+        result = np.empty_like(values)
+        result[1:] = values[:-1]
+        result[self.starts] = self.end
+        return result
 
     def word_rows(self) -> Iterator[tuple[int, bytes, bytes]]:
-        """Bucket, words and how often each comes in the training texts here."""
-        own = np.bincount(self.at[self.trains], minlength=len(self.words) + 1).astype("<i8")
+        """Bucket, words, and how often they and their runs come in the training texts here."""
+        own = np.bincount(self.at[self.trains], minlength=len(self.words))
+        runs = np.bincount(self.pair_of, self.trains[self.followers], len(self.pairs))
+        owner, after = np.divmod(self.pairs, len(self.corpus.frequent))
+        by_word = np.bincount(owner, minlength=len(self.words))
         cuts = _cuts(self.bucket)
-        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            yield int(self.bucket[low]), b" ".join(self.words[low:high]), own[low:high].tobytes()
+        of_runs = np.concatenate(([0], np.cumsum(by_word)))[cuts].tolist()
+        for at, (low, high) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+            mine = slice(of_runs[at], of_runs[at + 1])
+            body = _pack(own[low:high], by_word[low:high], after[mine], runs[mine])
+            yield int(self.bucket[low]), b" ".join(self.words[low:high]), body
+
+    def learn(self, answers: pa.Table) -> None:
+        """Take the words' numbers and counts, and the counts of the runs."""
+        columns = _unpacked(answers.sort_by("bucket")["body"])
+        if [len(column) for column in columns] != [len(self.words)] * 2 + [len(self.pairs)]:
+            raise RuntimeError("the documents came in another order when they were read again")
+        self.ids, self.counts, self.pair_counts = columns
 
-    def learn_words(self, counts: np.ndarray, alone: np.ndarray) -> None:
+    def scores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By text: known tokens, the base score, and the score of tokens that have no state."""
         corpus = self.corpus
-        every = np.empty(len(self.words) + 1, np.int64)
-        every[:-1] = counts
-        every[-1] = corpus.ends
         # The end mark is a token of its own kind; what was never seen is another.
         kinds = corpus.different + (1 if corpus.ends else 0) + 1
-        self.counts = every[self.at]
-        self.alone = np.append(alone, False)[self.at]
-        self.base = ((every + 1) / (corpus.tokens + 1 * kinds))[self.at]
-        # What was never seen has a part together, by how often new words turned up.
-        new = max(1, corpus.different)
-        self.chances = (np.where(every > 0, every, new) / (corpus.tokens + new))[self.at]
-        self.word_hashes = np.append(self.hashes, _ENDS)[self.at]
-        self.grams = self.word_hashes
-
-    def _before(self, values: np.ndarray, first) -> np.ndarray:
-        """For each token the value of the one before it; ``first`` at the start of a text."""
-        result = np.empty_like(values)
-        result[1:] = values[:-1]
-        result[self.starts] = first
-        return result
-
-    def ask(self) -> _Asked:
-        """What the next depth needs. A run of a rare context is left out: it has no state."""
-        sizes = self._before(self.counts, self.corpus.ends)
-        contexts = self._before(self.grams, self.start[0])
-        self.grams = _joined(contexts, self.word_hashes)
-        self.start = _joined(self.start, np.array([_ENDS]))
-        places = np.flatnonzero(sizes >= LEAST_COUNT)
-        of, grams = pd.factorize(self.grams[places])
-        first = np.empty(len(grams), np.int64)
-        first[of[::-1]] = places[::-1]
-        order = np.lexsort((grams, contexts[first]))
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        of, first, grams = back[of], first[order], grams[order]
-        counts = np.bincount(of, self.trains[places], len(grams)).astype(np.int64)
-        chances, size = self.chances[first], sizes[first]
-        cuts = _cuts(contexts[first])
-        owner = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
-        contexts, sizes = contexts[first][cuts[:-1]], size[cuts[:-1]]
-        whole = self._before(self.alone, False)[first][cuts[:-1]]
-        known = whole[owner] | self.alone[first] | (self.counts[first] == 0)
-        gains = _gains(counts, size, chances)
-        gains = np.bincount(owner[known], gains[known], len(sizes))
-
-        buckets, spread = self.corpus.buckets, self.corpus.is_spread(sizes)
-        home = _bucket_of(contexts, buckets)
-        asking = np.flatnonzero(~whole)
-        entries = np.flatnonzero(~known)
-        theirs = owner[entries]
-        bucket = np.where(spread[theirs], _bucket_of(grams[entries], buckets), home[theirs])
-        keys = np.concatenate((home[asking], bucket)) * len(sizes)
-        heads, at = np.unique(keys + np.concatenate((asking, theirs)), return_inverse=True)
-        at = at[len(asking) :]
-        width = max(1, len(sizes))
-        return _Asked(
-            grams, counts, chances, owner, contexts, sizes, gains, whole, places, of,
-            heads // width, heads % width, np.bincount(at, minlength=len(heads)),
-            entries[np.argsort(at, kind="stable")],
-        )
-
-    def learn(
-        self, asked: _Asked, counts: np.ndarray, alone: np.ndarray, kept: np.ndarray
-    ) -> None:
-        """Take the answers: counts of runs, and for each context looked up whether it is kept."""
-        asked.counts[asked.entries] = counts
-        only = np.ones(len(asked.grams), bool)
-        only[asked.entries] = alone
-        keeps = asked.whole & (asked.gains >= LEAST_DIVERGENCE)
-        keeps[asked.heads] = kept.astype(bool)
-        spread = self.corpus.is_spread(asked.sizes) & ~asked.whole
-        keeps[spread] = np.isin(asked.contexts[spread], self.corpus.spread[self.depth])
-        longer = _smoothed(asked.counts, asked.sizes[asked.owner], asked.chances)
-        chances = np.where(keeps[asked.owner], longer, asked.chances)
-        self.counts = np.zeros(len(self.at), np.int64)
-        self.counts[asked.places] = asked.counts[asked.of]
-        self.alone = np.zeros(len(self.at), bool)
-        self.alone[asked.places] = only[asked.of]
-        self.chances[asked.places] = chances[asked.of]
-        self.depth += 1
-
-    def look_up(self, answers: pa.Table, depth: int) -> None:
-        """Learn what was answered at a depth."""
-        own = answers.filter(pc.equal(answers["depth"], depth)).sort_by("bucket")
-        counts = _array(own["counts"], "<i8")
-        counts, alone = counts >> 1, (counts & 1).astype(bool)
-        asked = self.ask() if depth else None
-        if len(counts) != len(asked.entries if asked else self.words):
-            raise RuntimeError("the documents came in another order when they were read again")
-        if asked:
-            self.learn(asked, counts, alone, _array(own["kept"], "u1"))
-        else:
-            self.learn_words(counts, alone)
-
-    def sums(self, values: np.ndarray) -> np.ndarray:
-        """Sums by text."""
-        return np.add.reduceat(values, self.starts)
-
-
+        base = np.log10((self.counts + 1) / (corpus.tokens + 1 * kinds))
+        alone = np.where(self._stateless(), _fixed(corpus.chances(self.counts))[self.at], 0)
+        return (
+            np.add.reduceat((self.counts > 0)[self.at].astype(np.int64), self.starts),
+            np.add.reduceat(base[self.at], self.starts),
+            np.add.reduceat(alone, self.starts),
+        )
 
-_ASKED = (
-    "chunk long, bucket long, grams binary, counts binary, chances binary, contexts binary, "
-    "runs binary, sizes binary, known binary"
-)
-_ANSWERED = (
-    "depth int, chunk long, bucket long, counts binary, kept binary, "
-    "different long, tokens long, spread binary, gains binary"
-)
+    def _stateless(self) -> np.ndarray:
+        return self.counts[self.newer] < LEAST_COUNT
+
+    def token_rows(self) -> Iterator[tuple[int, bytes]]:
+        """Bucket, and its tokens by the word before them and their own.
+
+        The bucket is that of the word before; after a frequent word, whose runs are counted,
+        that of the two words before; and if these are too frequent too, that of all three.
+        """
+        corpus, buckets = self.corpus, self.corpus.buckets
+        asks = np.flatnonzero(~self._stateless())
+        word, newer, older = self.at[asks], self.newer[asks], self._before(self.newer)[asks]
+        bucket, place = self.bucket[newer], self.place[newer]
+        often = np.flatnonzero(place >= 0)
+        pair = _mixed(self.hashes[older[often]], self.hashes[newer[often]])
+        hot = corpus.hot_pair(self.place[older[often]], place[often]) >= 0
+        pair[hot] = _mixed(pair[hot], self.hashes[word[often[hot]]])
+        bucket[often] = _bucket_of(pair, buckets)
+        paired = np.zeros(len(self.at), np.int64)
+        paired[self.followers] = self.pair_counts[self.pair_of]
+        text = np.repeat(np.arange(len(self.sizes)) << 1, self.sizes) | self.trains
+
+        many = len(self.words)
+        keys = (bucket * many + newer) * many + word
+        order = np.argsort(keys)
+        heads = _cuts(keys[order] // many)
+        runs = _cuts(keys[order])
+        asks, older = asks[order], self.ids[older[order]]
+        lead = asks[runs[:-1]]
+        columns = (self.ids[self.at[lead]], self.counts[self.at[lead]], paired[lead], np.diff(runs))
+        text, context = text[asks], self.ids[self.newer[asks[heads[:-1]]]]
+        of_heads = _cuts(bucket[order[heads[:-1]]])
+        of_tokens = heads[of_heads]
+        first_run = np.searchsorted(runs, heads)
+        of_runs, length = first_run[of_heads], np.diff(first_run)
+        for at in range(len(of_heads) - 1):
+            mine = slice(of_heads[at], of_heads[at + 1])
+            theirs = slice(of_runs[at], of_runs[at + 1])
+            tokens = slice(of_tokens[at], of_tokens[at + 1])
+            body = _pack(
+                context[mine], length[mine], *(column[theirs] for column in columns),
+                older[tokens], text[tokens],
+            )
+            yield int(bucket[order[of_tokens[at]]]), body
+
+
+_COUNTED = "chunk long, bucket long, body binary, different long, tokens long, marks binary, after binary"
+_ASKED = "chunk long, bucket long, body binary, texts binary"
+_ANSWERED = "chunk long, bucket long, body binary, texts binary, hot binary"
 
 
 def _table(columns: list, schema: str) -> pa.Table:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    kinds = {"long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
     fields = [field.split() for field in schema.split(",")]
+    columns = columns or [[]] * len(fields)
     arrays = [pa.array(column, kinds[kind]) for column, (_, kind) in zip(columns, fields)]
     return pa.table(arrays, names=[name for name, _ in fields])
 
 
-def _with_alone(counts: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    """Counts, and as their lowest bit whether a single chunk asked."""
-    return (counts << 1 | (np.bincount(asked, minlength=len(counts)) == 1)).astype("<i8")
+def _split(values: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    return np.split(values, np.cumsum(sizes)[:-1])
+
 
+def _ipc(table: pa.Table | pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(sink, table.schema, options=options) as stream:
+        stream.write(table)
+    return sink.getvalue().to_pybytes()
 
-def _split(values: np.ndarray, sizes: list[int]) -> list[bytes]:
-    ends = np.cumsum(sizes)
-    return [values[high - size : high].tobytes() for size, high in zip(sizes, ends.tolist())]
+
+def _from_ipc(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[int]]]:
@@ -424,29 +464,58 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
 
 
 def _chunked(rows: DataFrame) -> DataFrame:
-    """Rows with the number of their chunk: neighbours in the scan share one."""
+    """Rows by the number of their chunk, many in one: neighbours in the scan share a chunk."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, numbers in _numbered(batches):
-            columns = [pa.array(numbers, pa.int64()), *batch.columns]
-            yield pa.RecordBatch.from_arrays(columns, ["chunk", *batch.schema.names])
+            cuts = _cuts(np.array(numbers)).tolist()
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                columns = [[numbers[low]], [_ipc(batch.slice(low, high - low))]]
+                yield from _table(columns, schema).to_batches()
 
-    schema = StructType([StructField("chunk", LongType()), *rows.schema.fields])
+    schema = "chunk long, texts binary"
     return rows.mapInArrow(work, schema)
 
 
+def _frequent_words(rows: DataFrame, size: int, buckets: int) -> dict[bytes, int]:
+    """Words that seem to make up much of a bucket, and the end mark, with their places.
+
+    Seen in some of the texts: which words they are changes where runs are counted, no count.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counter()
+        for batch in batches:
+            for text in utf8_texts(batch.column(2)):
+                for piece in pieces(text):
+                    counts.update(piece.lower().split())
+        columns = [list(counts), list(counts.values())]
+        yield from _table(columns, schema).to_batches(max_chunksize=100_000)
+
+    schema = "word binary, n long"
+    part = max(SAMPLE_PART, min(1.0, SAMPLE_BYTES / max(1, size)))
+    some = rows.sample(part, seed=5) if part < 1 else rows
+    summed = keep_table(some.mapInArrow(work, schema).groupBy("word").agg(F.sum("n").alias("n")))
+    total = summed.agg(F.sum("n")).first()[0] or 0
+    found = summed.where(F.col("n") * buckets > total * SPREAD_PART).select("word").collect()
+    return {word: at for at, word in enumerate([END_WORD, *sorted(bytes(r.word) for r in found)])}
+
+
 def _count_words(rows: DataFrame, corpus: _Corpus) -> DataFrame:
-    """Answers of depth 0: for each chunk's words their corpus-wide training counts."""
+    """For each chunk's words their numbers and training counts, and counts after frequent words.
+
+    ``different`` and ``tokens`` are sums of a bucket, ``marks`` its frequent words with number and
+    count, ``after`` its runs: place of the frequent word, count, count of the next word alone,
+    and its place, from 1 on, if that is frequent too.
+    """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, texts, trains = None, [], []
 
         def settle() -> Iterator[pa.RecordBatch]:
-            chunk = _Chunk(texts, np.array(trains, bool), corpus)
-            found = list(chunk.word_rows())
-            if found:
-                table = _table([[now] * len(found), *zip(*found)], schema)
-                yield from table.to_batches(max_chunksize=64)
+            found = list(_Chunk(texts, np.array(trains, bool), corpus).word_rows())
+            table = _table([[now] * len(found), *zip(*found)], schema)
+            yield from table.to_batches(max_chunksize=64)
 
         for batch, numbers in _numbered(batches):
             own = zip(numbers, batch.column(1).to_pylist(), utf8_texts(batch.column(2)))
@@ -461,135 +530,215 @@ def _count_words(rows: DataFrame, corpus: _Corpus) -> DataFrame:
             yield from settle()
 
     def answer(asked: pa.Table) -> pa.Table:
-        numbers = _Numbers()
-        at, sizes = [], []
+        numbers, bucket = _Numbers(), asked["bucket"][0].as_py()
+        at = []
         for words in asked["words"].to_pylist():
             words = words.split()
             at.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
-            sizes.append(len(words))
+        rows = [_unpack(body) for body in asked["body"].to_pylist()]
+        own, by_word, after, runs = map(np.concatenate, zip(*rows))
         flat = np.concatenate(at)
-        counts = np.bincount(flat, _array(asked["counts"], "<i8"), len(numbers)).astype("<i8")
-        none, rest = [None] * len(sizes), [0] * (len(sizes) - 1)
+        counts = np.bincount(flat, own, len(numbers)).astype(np.int64)
+        of, first = _grouped(np.repeat(flat, by_word) * len(corpus.frequent) + after)
+        run_counts = np.bincount(of, runs, len(first)).astype(np.int64)
+        # Frequent words have small numbers.
+        ids = np.empty(len(counts), np.int64)
+        ids[np.argsort(-counts, kind="stable")] = np.arange(len(counts)) * corpus.buckets + bucket
+        place = np.fromiter((corpus.frequent.get(word, -1) for word in numbers), np.int64)
+        marks = np.flatnonzero(place >= 0)
+        next_word, sizes = np.repeat(flat, by_word)[first], list(map(len, at))
+        seen = run_counts > 0
+        parts = zip(
+            _split(ids[flat], sizes), _split(counts[flat], sizes),
+            _split(run_counts[of], [len(row[2]) for row in rows]),
+        )
+        rest = [None] * (len(sizes) - 1)
         return _table(
             [
-                [0] * len(sizes),
                 asked["chunk"].to_pylist(),
                 asked["bucket"].to_pylist(),
-                _split(_with_alone(counts, flat)[flat], sizes),
-                none,
+                [_pack(*part) for part in parts],
                 [int(np.count_nonzero(counts)), *rest],
                 [int(counts.sum()), *rest],
-                none,
-                none,
+                [_pack(place[marks], ids[marks], counts[marks]), *rest],
+                [
+                    _pack(
+                        after[first][seen], run_counts[seen], counts[next_word][seen],
+                        place[next_word][seen] + 1,
+                    ),
+                    *rest,
+                ],
             ],
-            _ANSWERED,
-        )
+            _COUNTED,
+        )
 
-    schema = "chunk long, bucket long, words binary, counts binary"
-    return rows.mapInArrow(ask, schema).groupBy("bucket").applyInArrow(answer, _ANSWERED)
+    schema = "chunk long, bucket long, words binary, body binary"
+    return rows.mapInArrow(ask, schema).groupBy("bucket").applyInArrow(answer, _COUNTED)
 
 
-def _replayed(texts: pa.Table, answers: pa.Table, corpus: _Corpus, depth: int) -> _Chunk:
-    """A chunk with all that was answered before ``depth``."""
-    trains = texts["trains"].combine_chunks().to_numpy(zero_copy_only=False)
-    chunk = _Chunk(utf8_texts(texts["text"]), trains.astype(bool), corpus)
-    for number in range(depth):
-        chunk.look_up(answers, number)
-    return chunk
+def _with_frequent(corpus: _Corpus, counted: DataFrame) -> _Corpus:
+    """The corpus with what is known after the words are counted; a few numbers of each bucket."""
+    different, tokens = counted.agg(F.sum("different"), F.sum("tokens")).first()
+    many = len(corpus.frequent)
+    ids, sizes = np.full(many, -1, np.int64), np.zeros(many, np.int64)
+    for row in counted.where("marks IS NOT NULL").select("marks").collect():
+        place, number, count = _unpack(bytes(row.marks))
+        ids[place], sizes[place] = number, count
+    ends = int(sizes[0])
+    corpus = replace(
+        corpus, tokens=tokens or 0, different=(different or 0) - (ends > 0), ends=ends,
+        ids=ids, sizes=sizes,
+    )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gains = np.zeros(many)
+        for batch in batches:
+            for after in batch.column(0).to_pylist():
+                place, count, alone, following = _unpack(after)
+                shorter = corpus.chances(alone)
+                longer = _smoothed(count, corpus.sizes[place], shorter)
+                gains += np.bincount(place, _gains(count, longer, shorter), many)
+                hot = (following > 0) & (count * corpus.buckets > corpus.tokens * SPREAD_PART)
+                columns = [place[hot], following[hot] - 1, count[hot].astype(float)]
+                yield from _table(columns, schema).to_batches()
+        some = np.flatnonzero(gains)
+        yield from _table([some, np.full(len(some), -1), gains[some]], schema).to_batches()
+
+    schema = "older long, newer long, value double"
+    parts = counted.where("after IS NOT NULL").select("after").mapInArrow(work, schema)
+    found = parts.groupBy("older", "newer").agg(F.sum("value").alias("value")).collect()
+    gains = np.zeros(many)
+    pairs = {}
+    for row in found:
+        if row.newer < 0:
+            gains[row.older] = row.value
+        else:
+            pairs[row.older * many + row.newer] = int(row.value)
+    return replace(
+        corpus,
+        kept=(sizes >= LEAST_COUNT) & (gains >= LEAST_DIVERGENCE),
+        hot=np.array(sorted(pairs), np.int64),
+        hot_sizes=np.array([pairs[key] for key in sorted(pairs)], np.int64),
+    )
 
 
-def _count_runs(rows: DataFrame, answers: DataFrame, shared, depth: int) -> DataFrame:
-    """Answers of a depth: counts of each chunk's runs, and whether their contexts are kept.
+def _count_runs(rows: DataFrame, counted: DataFrame, shared) -> DataFrame:
+    """The scores of each chunk's texts, in the parts that the buckets have of them.
 
-    The bucket of a spread context has a part of its entries; their gain is in ``gains``.
+    ``body`` has texts and what their tokens after contexts of the bucket come to; then hot
+    contexts, texts, and what those tokens come to if the context is kept, and if it is not.
+    ``hot`` has the bucket's part of the hot contexts' gains. One row of a chunk has its ``texts``.
     """
 
     def ask(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        number = texts["chunk"][0].as_py() if len(texts) else None
-        if number is None:
-            return _table([[]] * 9, _ASKED)
-        corpus = shared.value
-        asked = _replayed(texts, answers, corpus, depth).ask()
-        heads, entries = asked.heads, asked.entries
-        # The known gain goes with the context to its own bucket.
-        own = asked.bucket == _bucket_of(asked.contexts[heads], corpus.buckets)
-        # Numbers that are small and alike are compressed, hashes and chances are not.
-        columns = (
-            asked.grams[entries],
-            asked.counts[entries].astype("<u4"),
-            asked.chances[entries].astype("<f4"),
-            asked.contexts[heads],
-            asked.runs.astype("<u4"),
-            asked.sizes[heads].astype("<i8"),
-            np.where(own, asked.gains[heads], 0).astype("<f4"),
-        )
-        cuts = _cuts(asked.bucket)
-        of_runs = np.concatenate(([0], np.cumsum(asked.runs)))[cuts]
-        found = []
-        for at in range(len(cuts) - 1):
-            row = [column[of_runs[at] : of_runs[at + 1]].tobytes() for column in columns[:3]]
-            row += [column[cuts[at] : cuts[at + 1]].tobytes() for column in columns[3:]]
-            for small in (1, 4, 5, 6):
-                row[small] = zlib.compress(row[small], 1)
-            found.append((number, int(asked.bucket[cuts[at]]), *row))
-        return _table(list(zip(*found)) or [[]] * 9, _ASKED)
+        if not len(texts):
+            return _table([], _ASKED)
+        number = texts["chunk"][0].as_py()
+        texts = pa.concat_tables([_from_ipc(part) for part in texts["texts"].to_pylist()])
+        trains = texts["trains"].combine_chunks().to_numpy(zero_copy_only=False)
+        chunk = _Chunk(utf8_texts(texts["text"]), trains.astype(bool), shared.value)
+        chunk.learn(answers)
+        known, base, alone = chunk.scores()
+        texts = texts.select(["id", "trains"])
+        for name, column in (("n", chunk.sizes), ("known", known), ("base", base), ("alone", alone)):
+            texts = texts.append_column(name, pa.array(column))
+        found = [(number, bucket, body, None) for bucket, body in chunk.token_rows()]
+        # This goes along with any of the buckets.
+        bucket = _bucket_of(np.array([number], np.uint64), shared.value.buckets)
+        found.append((number, int(bucket[0]), None, _ipc(texts)))
+        return _table(list(zip(*found)), _ASKED)
 
     def answer(asked: pa.Table) -> pa.Table:
+        passes = pc.is_valid(asked["texts"])
+        texts, asked = asked.filter(passes), asked.filter(pc.invert(passes))
+        texts = texts.append_column("hot", pa.nulls(len(texts), pa.binary()))
+        if not len(asked):
+            return texts
         corpus = shared.value
-        runs = _array(asked["runs"], "<u4", packed=True)
-        context = _array(asked["contexts"], "<u8")
-        sizes = _array(asked["sizes"], "<i8", packed=True)
-        grams, first, of = np.unique(
-            _array(asked["grams"], "<u8"), return_index=True, return_inverse=True
-        )
-        counts = np.bincount(of, _array(asked["counts"], "<u4", packed=True), len(grams)).astype("<i8")
-        every, owner = np.unique(context, return_inverse=True)
-        of_context = np.repeat(owner, runs)[first]
-        size = np.zeros(len(every), np.int64)
-        size[owner] = sizes
-        shorter = _array(asked["chances"], "<f4")[first].astype(np.float64)
-        gains = np.bincount(
-            of_context, _gains(counts, size[of_context], shorter), len(every)
-        ) + np.bincount(owner, _array(asked["known"], "<f4", packed=True), len(every))
-        kept = (gains >= LEAST_DIVERGENCE).astype("u1")
-        spread = corpus.is_spread(size)
-        entries = [len(row) // 8 for row in asked["grams"].to_pylist()]
-        heads = [len(row) // 8 for row in asked["contexts"].to_pylist()]
-        none, rest = [0] * len(entries), [None] * (len(entries) - 1)
-        return _table(
+        rows = [_unpack(body) for body in asked["body"].to_pylist()]
+        sizes = [len(row[-1]) for row in rows]
+        newer, runs, word, count, paired, tokens, older, text = map(np.concatenate, zip(*rows))
+        del rows
+        trains, text = text & 1, text >> 1
+
+        # Runs of two. There are less than 2 ** 40 words.
+        head, some = _grouped(newer)
+        newer = newer[some]
+        head = np.repeat(head, runs)
+        of, some = _grouped(head << 40 | word)
+        run = of[np.repeat(np.arange(len(of)), tokens)]
+        head, shorter = head[some], corpus.chances(count[some])
+        place = corpus.places(newer)
+        often = place >= 0
+        counts = np.where(often[head], paired[some], np.bincount(run, trains, len(some)))
+        size = np.where(often, corpus.sizes[place], np.bincount(head, counts, len(newer)))
+        longer = _smoothed(counts, size[head], shorter)
+        gains = np.bincount(head, _gains(counts, longer, shorter), len(newer))
+        kept = (size >= LEAST_COUNT) & (gains >= LEAST_DIVERGENCE)
+        kept = np.where(often, corpus.kept[place], kept)
+        chance = np.where(kept[head], longer, shorter)
+
+        # Runs of three.
+        context, some = _grouped(head[run] << 40 | older)
+        hot = corpus.hot_pair(corpus.places(older[some]), place[head[run[some]]])
+        size = np.bincount(context, trains, len(some))
+        if len(corpus.hot):
+            size = np.where(hot >= 0, corpus.hot_sizes[hot], size)
+        of, some = _grouped(context * len(chance) + run)
+        owner, shorter = context[some], chance[run[some]]
+        counts = np.bincount(of, trains, len(some))
+        longer = _smoothed(counts, np.maximum(size, 1)[owner], shorter)
+        gains = np.bincount(owner, _gains(counts, longer, shorter), len(size))
+        kept = (size >= LEAST_COUNT) & (gains >= LEAST_DIVERGENCE)
+        is_hot, hot_of = (hot >= 0)[context], hot[context]
+        longer, shorter = _fixed(longer), _fixed(shorter)
+        value = np.where(kept[owner], longer, shorter)[of]
+
+        bodies, high = [], 0
+        for size in sizes:
+            low, high = high, high + size
+            mine, apart = text[low:high], is_hot[low:high]
+            plain = mine[~apart]
+            sums = np.bincount(plain, value[low:high][~apart])
+            at = np.flatnonzero(np.bincount(plain))
+            key = (hot_of[low:high][apart] << 32) | mine[apart]
+            own, some = _grouped(key)
+            both = [np.bincount(own, v[of[low:high][apart]], len(some)) for v in (longer, shorter)]
+            bodies.append(_pack(at, sums[at], key[some] >> 32, key[some] & 0xFFFFFFFF, *both))
+        some = np.flatnonzero(hot >= 0)
+        part = np.array([hot[some], gains[some].view(np.int64)], "<i8").tobytes()
+        found = _table(
             [
-                [depth] * len(entries),
                 asked["chunk"].to_pylist(),
                 asked["bucket"].to_pylist(),
-                _split(_with_alone(counts, of)[of], entries),
-                _split(kept[owner], heads),
-                none,
-                none,
-                [every[spread].tobytes(), *rest],
-                [gains[spread].tobytes(), *rest],
+                bodies,
+                [None] * len(sizes),
+                [part if len(some) else None] + [None] * (len(sizes) - 1),
             ],
             _ANSWERED,
         )
+        return pa.concat_tables([found, texts])
 
-    pairs = _chunked(rows).groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    pairs = _chunked(rows).groupBy("chunk").cogroup(counted.groupBy("chunk"))
     return pairs.applyInArrow(ask, _ASKED).groupBy("bucket").applyInArrow(answer, _ANSWERED)
 
 
-def _kept_spread(answers: DataFrame) -> np.ndarray:
-    """The spread contexts that are kept: a few for each bucket, whatever the corpus."""
+def _kept_hot(corpus: _Corpus, answers: DataFrame) -> np.ndarray:
+    """Whether hot contexts are kept: a few for each bucket, whatever the corpus."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for contexts, gains in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(contexts, "<i8")), pa.array(np.frombuffer(gains))],
-                    ["context", "gain"],
-                )
+            for part in batch.column(0).to_pylist():
+                hot, gains = np.frombuffer(part, "<i8").reshape(2, -1)
+                yield from _table([hot, gains.view(np.float64)], schema).to_batches()
 
-    parts = answers.where("octet_length(spread) > 0").select("spread", "gains")
-    summed = parts.mapInArrow(listed, "context long, gain double").groupBy("context")
-    kept = summed.agg(F.sum("gain").alias("gain")).where(F.col("gain") >= LEAST_DIVERGENCE)
-    return np.array([row.context for row in kept.collect()], np.int64).view(np.uint64)
+    schema = "hot long, gain double"
+    parts = answers.where("hot IS NOT NULL").select("hot").mapInArrow(listed, schema)
+    summed = parts.groupBy("hot").agg(F.sum("gain").alias("gain"))
+    kept = np.zeros(len(corpus.hot), bool)
+    for row in summed.where(F.col("gain") >= LEAST_DIVERGENCE).collect():
+        kept[row.hot] = corpus.hot_sizes[row.hot] >= LEAST_COUNT
+    return kept
 
 
 def _settled(answers: DataFrame) -> DataFrame:
@@ -621,44 +770,44 @@ def score(
         F.coalesce(trains, F.lit(False)).alias("trains"),
         F.col(text_col).alias("text"),
     )
-    size, ends = rows.agg(F.sum(F.octet_length("text")), F.count_if("trains")).first()
-    corpus = _Corpus(max(1, math.ceil((size or 0) / BUCKET_BYTES)), ends)
-    answers = [_settled(_count_words(rows, corpus))]
-    different, tokens = answers[0].agg(F.sum("different"), F.sum("tokens")).first()
-    corpus = replace(corpus, different=different or 0, tokens=(tokens or 0) + ends)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, math.ceil(size / BUCKET_BYTES))
+    corpus = _Corpus(buckets, _frequent_words(rows, size, buckets))
+    counted = _settled(_count_words(rows, corpus))
+    corpus = _with_frequent(corpus, counted)
     context = docs.sparkSession.sparkContext
-    for depth in range(1, DEPTH + 1):
-        known = reduce(DataFrame.unionByName, answers).drop("spread", "gains")
-        answers.append(_settled(_count_runs(rows, known, context.broadcast(corpus), depth)))
-        corpus = replace(corpus, spread=(*corpus.spread, _kept_spread(answers[-1])))
-
-    shared = context.broadcast(corpus)
+    counted = counted.select("chunk", "bucket", "body")
+    answers = _settled(_count_runs(rows, counted, context.broadcast(corpus)))
+    tokens, kept = corpus.tokens, context.broadcast(_kept_hot(corpus, answers))
     schema = with_fields(
         rows.select("id", "trains").schema,
         "n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
 
-    def work(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        corpus = shared.value
-        chunk = _replayed(texts, answers, corpus, 1)
-        known = chunk.sums((chunk.counts > 0).astype(np.int64))
-        base = chunk.sums(np.log10(chunk.base))
-        for depth in range(1, DEPTH + 1):
-            chunk.look_up(answers, depth)
+    def work(answers: pa.Table) -> pa.Table:
+        (texts,) = (part for part in answers["texts"].to_pylist() if part is not None)
+        texts = _from_ipc(texts)
+        total = texts["alone"].to_numpy().copy()
+        for body in answers["body"].to_pylist():
+            if body is None:
+                continue
+            at, sums, hot, hot_at, longer, shorter = _unpack(body)
+            total[at] += sums
+            if len(hot):
+                np.add.at(total, hot_at, np.where(kept.value[hot], longer, shorter))
         columns = [
             texts["id"],
             texts["trains"],
-            pa.array(chunk.sizes),
-            pa.array(known),
-            pa.array(np.full(len(known), corpus.tokens, np.int64)),
-            pa.array(base),
-            pa.array(chunk.sums(np.log10(chunk.chances))),
+            texts["n"],
+            texts["known"],
+            pa.array(np.full(len(texts), tokens, np.int64)),
+            texts["base"],
+            pa.array(total / -LOG_UNIT),
         ]
         return pa.table(columns, names=schema.names)
 
-    known = reduce(DataFrame.unionByName, answers).drop("spread", "gains")
-    pairs = _chunked(rows).groupBy("chunk").cogroup(known.groupBy("chunk"))
-    return pairs.applyInArrow(work, schema)
+    parts = answers.select("chunk", "body", "texts")
+    return parts.groupBy("chunk").applyInArrow(work, schema)
 
 
 def held_out(key: Column) -> Column:

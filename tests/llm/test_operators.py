@@ -351,6 +351,39 @@ def test_every_word_is_a_symbol_of_the_suffix_tree(spark, tmp_path, monkeypatch)
     assert got[302] > -16 and len(got) == len(texts)
 
 
+def test_suffix_tree_takes_the_texts_once_for_all_depths(spark, tmp_path, monkeypatch):
+    draw = random.Random(12)
+    # Nearly all contexts are too frequent for a bucket, by one word and by two.
+    texts = [
+        " ".join(draw.choice(["a b", "b a", "The", f"w{draw.randrange(300)}"]) for _ in range(60))
+        for _ in range(200)
+    ]
+    texts += [None, "", "b a END end a b", "The a"]
+    trains = [at % 5 != 2 for at in range(len(texts))]
+    path = str(tmp_path / "docs")
+    rows = [(at, text, train) for at, (text, train) in enumerate(zip(texts, trains))]
+    spark.createDataFrame(rows, "doc_id long, text string, learn boolean").coalesce(1).write.parquet(path)
+    monkeypatch.setattr(pst, "CHUNK_BYTES", 3_000)
+    monkeypatch.setattr(pst, "BUCKET_BYTES", 2_000)
+    monkeypatch.setattr(pst, "SAMPLE_BYTES", 1, raising=False)
+    monkeypatch.setattr(pst, "SAMPLE_PART", 0.3, raising=False)
+    found = pst.score(spark.read.parquet(path), F.col("learn"))
+    # What is scored last is sums by text: the texts are not dealt out again.
+    assert found.inputFiles() and not any(path in file for file in found.inputFiles())
+    expected, _ = plain_tree_scores(texts, trains)
+    got = {r.id: r.score for r in found.collect()}
+    assert len(got) == len(texts)
+    assert all(math.isclose(got[at], want, rel_tol=1e-6) for at, want in enumerate(expected))
+
+
+def test_packed_columns_come_back():
+    import numpy as np
+
+    columns = [np.arange(n) * factor for n in (0, 1, 5, 5000) for factor in (0, 1, 1 << 40)]
+    back = pst._unpack(pst._pack(*columns))
+    assert all((one == other).all() and len(one) == len(other) for one, other in zip(columns, back))
+
+
 def test_states_are_the_longest_kept_suffix():
     import numpy as np
 
