@@ -636,7 +636,8 @@ def _count_runs(rows: DataFrame, counted: DataFrame, shared) -> DataFrame:
         number = texts["chunk"][0].as_py()
         texts = pa.concat_tables([_from_ipc(part) for part in texts["texts"].to_pylist()])
         trains = texts["trains"].combine_chunks().to_numpy(zero_copy_only=False)
-        chunk = _Chunk(utf8_texts(texts["text"]), trains.astype(bool), shared.value)
+        corpus = _Corpus(**shared.value)
+        chunk = _Chunk(utf8_texts(texts["text"]), trains.astype(bool), corpus)
         chunk.learn(answers)
         known, base, alone = chunk.scores()
         texts = texts.select(["id", "trains"])
@@ -644,7 +645,7 @@ def _count_runs(rows: DataFrame, counted: DataFrame, shared) -> DataFrame:
             texts = texts.append_column(name, pa.array(column))
         found = [(number, bucket, body, None) for bucket, body in chunk.token_rows()]
         # This goes along with any of the buckets.
-        bucket = _bucket_of(np.array([number], np.uint64), shared.value.buckets)
+        bucket = _bucket_of(np.array([number], np.uint64), corpus.buckets)
         found.append((number, int(bucket[0]), None, _ipc(texts)))
         return _table(list(zip(*found)), _ASKED)
 
@@ -654,7 +655,7 @@ def _count_runs(rows: DataFrame, counted: DataFrame, shared) -> DataFrame:
         texts = texts.append_column("hot", pa.nulls(len(texts), pa.binary()))
         if not len(asked):
             return texts
-        corpus = shared.value
+        corpus = _Corpus(**shared.value)
         rows = [_unpack(body) for body in asked["body"].to_pylist()]
         sizes = [len(row[-1]) for row in rows]
         newer, runs, word, count, paired, tokens, older, text = map(np.concatenate, zip(*rows))
@@ -777,7 +778,9 @@ def score(
     corpus = _with_frequent(corpus, counted)
     context = docs.sparkSession.sparkContext
     counted = counted.select("chunk", "bucket", "body")
-    answers = _settled(_count_runs(rows, counted, context.broadcast(corpus)))
+    # Its fields: a broadcast value's class would have to be installed on the executors.
+    shared = context.broadcast(vars(corpus))
+    answers = _settled(_count_runs(rows, counted, shared))
     tokens, kept = corpus.tokens, context.broadcast(_kept_hot(corpus, answers))
     schema = with_fields(
         rows.select("id", "trains").schema,
